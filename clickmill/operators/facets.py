@@ -15,14 +15,12 @@ def facets(
     key nor a hot value gathers in one task, and counting the result per key is exact. Against
     several COUNT(DISTINCT) in one aggregate, the copied rows carry no buffers of other aggregates.
     """
-    used = {*keys, *columns}
-    extra = [c for c in df.columns if c not in used]
-    long = df.select(
-        *keys, *extra, *[F.col(c).cast("string").alias(f"{c}_") for c in columns]
-    ).unpivot([*keys, *extra], [f"{c}_" for c in columns], "facet", "value")
+    rest = [c for c in df.columns if c not in columns]
+    texts = [F.col(c).cast("string").alias(c) for c in columns]
     return (
-        long.where(F.col("value").isNotNull())
-        .withColumn("facet", F.rtrim(F.col("facet"), F.lit("_")))
+        df.select(*rest, *texts)
+        .unpivot(rest, list(columns), "facet", "value")
+        .where(F.col("value").isNotNull())
         .groupBy(*keys, "facet", "value")
         .agg(*aggregates)
     )

@@ -91,25 +91,30 @@ def user_summary(users: DataFrame) -> DataFrame:
 def revenue_histogram(users: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Paying users in equal revenue bins between the smallest and the largest total.
 
-    Bins are found on whole cents; the largest total belongs to the last bin. Empty bins have no row.
+    Bins are found on whole cents; the largest total belongs to the last bin. Empty bins have no
+    row. The bounds are one row, read as a scalar subquery.
     """
     cents = users.where(F.col("total_revenue") > 0).select(
-        (F.col("total_revenue") * 100).cast("decimal(24,0)").alias("cents")
+        (F.col("total_revenue") * 100).cast("bigint").alias("cents")
     )
-    bounds = cents.agg(F.min("cents").alias("lo"), F.max("cents").alias("hi"))
-    limits = bounds.agg(F.first(F.struct("lo", "hi"))).scalar()
-    lo, width = limits["lo"], limits["hi"] - limits["lo"]
+    bounds = cents.agg(F.struct(F.min("cents").alias("lo"), F.max("cents").alias("hi")).alias("b"))
+    lo, width = F.col("bounds.lo"), F.col("bounds.hi") - F.col("bounds.lo")
     position = F.floor((F.col("cents") - lo) * bins / F.nullif(width, F.lit(0)))
     number = F.least(F.coalesce(position.cast("int"), F.lit(0)) + 1, F.lit(bins))
 
     def edge(steps: Column) -> Column:
-        cents = (lo * bins + width * steps).cast("double")
-        return cents / F.lit(100.0 * bins)
+        return (F.col("lo") * bins + F.col("width") * steps).cast("double") / (100.0 * bins)
 
     return (
-        cents.groupBy(number.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("users"))
-        .withColumns({"bin_start": edge(F.col("bin") - 1), "bin_end": edge(F.col("bin"))})
+        cents.withColumn("bounds", bounds.scalar())
+        .groupBy(number.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("users"), F.min(lo).alias("lo"), F.min(width).alias("width"))
+        .select(
+            "bin",
+            "users",
+            edge(F.col("bin") - 1).alias("bin_start"),
+            edge(F.col("bin")).alias("bin_end"),
+        )
         .orderBy("bin")
     )
 

@@ -13,7 +13,7 @@ from clickmill.operators.retention import retention
 from clickmill.operators.users import dim_users
 from clickmill.plans.incremental import upsert_facts, update_daily_kpis
 from clickmill.schemas import BRONZE_ROWS, SILVER
-from clickmill.sources.raw_files import list_files, not_loaded, read_raw_any
+from clickmill.sources.raw_files import is_header_mismatch, list_files, not_loaded, read_raw, read_raw_any
 from clickmill.sources.tables import read_table, write_days, write_table
 
 
@@ -40,8 +40,17 @@ def ingest(
     paths = [r["path"] for r in todo.select("path").collect()]  # names of new files only
     if not paths:
         return 0
-    rows = bronze.typed_rows(read_raw_any(spark, paths), ingested_at, batch_id)
-    return write_days(rows, table, keys=("batch_id",), sort=("event_date",))
+
+    def load(raw: DataFrame) -> int:
+        rows = bronze.typed_rows(raw, ingested_at, batch_id)
+        return write_days(rows, table, keys=("batch_id",), sort=("event_date",))
+
+    try:
+        return load(read_raw(spark, paths))
+    except Exception as error:
+        if not is_header_mismatch(error):
+            raise
+        return load(read_raw_any(spark, paths))  # some file has other columns: look at each header
 
 
 def read_bronze(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:

@@ -75,27 +75,34 @@ def raw_columns(have: Sequence[str]) -> list[Column]:
 
 
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`header`, `paths`: the distinct header lines and the files that begin with each.
+    """`path`, `header`: the header line of each file.
 
     One text scan in Spark; only a file's first split can hold its header, and every header names
     the event id, so all other lines drop out before the grouping.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(list(paths))
+    line = F.regexp_replace("value", r'["\r]', "")
     headers = lines.where(
         (F.col("_metadata.file_block_start") == 0)
-        & F.array_contains(F.split(F.regexp_replace("value", r'["\r]', ""), ","), "event_id")
-    ).select(F.regexp_replace("value", r'["\r]', "").alias("header"), "_metadata.file_path")
-    one_per_file = headers.groupBy("file_path").agg(F.min("header").alias("header"))
-    return one_per_file.groupBy("header").agg(F.collect_list("file_path").alias("paths"))
+        & F.array_contains(F.split(line, ","), "event_id")
+    )
+    return headers.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min(line).alias("header"))
 
 
 def read_raw_any(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Like `read_raw` for files whose headers differ: each layout is read with its own columns."""
-    layouts = file_headers(spark, paths).collect()  # one row per distinct header line
+    layouts: dict[str, list[str]] = {}
+    for row in file_headers(spark, paths).collect():  # one row per listed file
+        layouts.setdefault(row["header"], []).append(row["path"])
     if not layouts:
-        return spark.createDataFrame([], T.StructType([*RAW.fields, *[T.StructField(c, T.StringType()) for c in LINEAGE]]))
-    parts = [read_raw(spark, row["paths"], row["header"].split(",")) for row in layouts]
+        fields = [*RAW.fields, *[T.StructField(c, T.StringType()) for c in LINEAGE]]
+        return spark.createDataFrame([], T.StructType(fields))
+    parts = [read_raw(spark, files, header.split(",")) for header, files in layouts.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def is_header_mismatch(error: Exception) -> bool:
+    return "CSV header" in str(error)
