@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from clickmill.functions.columns import day
 
-_BY_USER = Window.partitionBy("user_id")
-
 
 def user_days(fact: DataFrame) -> DataFrame:
     """Distinct (user_id, event_date): at most one row per user and calendar day."""
@@ -23,7 +21,7 @@ def rolling_active_users(days: DataFrame, window: int = 7, since: str | None = N
     """
     if since:
         days = days.where(F.col("event_date") >= F.date_sub(day(since), window - 1))
-    following = F.lead("event_date").over(_BY_USER.orderBy("event_date"))
+    following = F.lead("event_date").over(Window.partitionBy("user_id").orderBy("event_date"))
     last = F.least(F.date_add("event_date", window - 1), F.date_sub(following, 1))
     counted = (
         days.where(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
@@ -63,6 +61,6 @@ def cohort_activity(days: DataFrame) -> DataFrame:
     """
     return days.select(
         "user_id",
-        F.min("event_date").over(_BY_USER).alias("cohort_date"),
+        F.min("event_date").over(Window.partitionBy("user_id")).alias("cohort_date"),
         F.col("event_date").alias("activity_date"),
     ).withColumn("days_since_signup", F.datediff("activity_date", "cohort_date"))
