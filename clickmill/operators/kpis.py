@@ -42,19 +42,20 @@ def daily_sums(fact: DataFrame) -> DataFrame:
 def daily_distincts(fact: DataFrame) -> DataFrame:
     """Users, buyers, users per device, sessions and products sold per day."""
     devices = [F.coalesce(F.col("device_type") == d, F.lit(False)).alias(d) for d in DEVICES]
-    bought = F.coalesce(is_type("purchase"), F.lit(False)).alias("bought")
+    bought = F.coalesce(is_type("purchase"), F.lit(False))
+    sold = F.when(bought, F.col("product_id")).alias("product_id")  # others need no shuffle
     seen = facets(
-        fact.select("event_date", "user_id", "session_id", "product_id", bought, *devices),
+        fact.select("event_date", "user_id", "session_id", sold, bought.alias("bought"), *devices),
         ["event_date"],
         ["user_id", "session_id", "product_id"],
         *[F.max(c).alias(c) for c in ("bought", *DEVICES)],
     )
-    user, product = F.col("facet") == "user_id", F.col("facet") == "product_id"
+    user = F.col("facet") == "user_id"
     return seen.groupBy("event_date").agg(
         F.count_if(user).alias("dau"),
         F.count_if(F.col("facet") == "session_id").alias("daily_sessions"),
         F.count_if(user & F.col("bought")).alias("purchasing_users"),
-        F.count_if(product & F.col("bought")).alias("products_sold"),
+        F.count_if(F.col("facet") == "product_id").alias("products_sold"),
         *[F.count_if(user & F.col(d)).alias(f"{d}_users") for d in DEVICES],
     )
 

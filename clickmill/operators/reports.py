@@ -1,6 +1,6 @@
 """The aggregates behind the dashboard, computed on the published tables."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions import columns as C
@@ -59,9 +59,12 @@ def cohort_sizes(retention: DataFrame) -> DataFrame:
 
 
 def _shares(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Rows per value and their share; `column` has a handful of values, so the totals are few."""
+    """Rows per value and their share of all rows.
+
+    The window without a key spans the counts, one row for each of a handful of fixed values.
+    """
     counts = df.groupBy(F.col(column).alias(name)).agg(F.count(F.lit(1)).alias("users"))
-    total = counts.agg(F.sum("users")).scalar()
+    total = F.sum("users").over(Window.partitionBy())
     return counts.withColumn("share", C.percentage("users", total)).orderBy(F.desc("users"), name)
 
 

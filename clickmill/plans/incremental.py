@@ -54,12 +54,7 @@ def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAY
         days = hit.select("event_date").union(new.select("event_date")).distinct()
         touched: list[date] = [r[0] for r in days.collect()]  # calendar days
         kept = target.where(F.col("event_date").isin(touched)).join(ids, "event_id", "left_anti")
-        stage(
-            kept.unionByName(new),
-            path,
-            touched=spark.createDataFrame([(d,) for d in touched], "event_date date"),
-            sort=FACT_SORT,
-        )
+        stage(kept.unionByName(new), path, touched, FACT_SORT)
     finish_staged(spark, path)
     return since
 

@@ -62,23 +62,34 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.validate_timestamps(silver.validate_event_types(rows), NOW)
 
 
-def _stg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged events without faults; the ids are unique already."""
-    rows = sample.clean_events(spark, sf_dir).select(RAW.fieldNames())
-    rows = silver.validate_event_types(silver.validate_not_null(rows))
+def _stg(spark: SparkSession, sf_dir: str, product: bool = True, place: bool = True) -> DataFrame:
+    """Staged events without faults: unique ids, all of them valid."""
+    flags = {"is_valid": F.lit(True), "quality_flags": F.lit("")}
+    events = sample.clean_events(spark, sf_dir, product, place)
+    rows = events.select(RAW.fieldNames()).withColumns(flags)
     return facts.stg_events(silver.add_derived(rows, NOW))
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_events(_stg(spark, sf_dir))
+def _fact(spark: SparkSession, sf_dir: str, product: bool = True, place: bool = True) -> DataFrame:
+    return facts.fact_events(_stg(spark, sf_dir, product, place))
+
+
+def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact for queries on users, days and event types alone."""
+    return _fact(spark, sf_dir, product=False, place=False)
+
+
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact for queries that need amounts but no places."""
+    return _fact(spark, sf_dir, place=False)
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.user_days(_fact(spark, sf_dir))
+    return activity.user_days(_visits(spark, sf_dir))
 
 
 def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.daily_kpis(_fact(spark, sf_dir))
+    return kpis.daily_kpis(_sales(spark, sf_dir))
 
 
 def _retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +187,7 @@ def fact_events(spark, sf_dir):
 @query
 def time_of_day_mix(spark, sf_dir):
     return (
-        _fact(spark, sf_dir)
+        _sales(spark, sf_dir)
         .groupBy("time_of_day", "is_weekend")
         .agg(F.count(F.lit(1)).alias("events"), F.count_if("is_revenue_event").alias("revenue_events"))
     )
@@ -189,7 +200,7 @@ def dim_users(spark, sf_dir):
 
 @query
 def user_modes(spark, sf_dir):
-    return users.user_modes(_stg(spark, sf_dir))
+    return users.user_modes(_stg(spark, sf_dir, product=False))
 
 
 @query
@@ -204,12 +215,12 @@ def wau_rolling(spark, sf_dir):
 
 @query
 def wau_approx(spark, sf_dir):
-    return activity.rolling_active_users_approx(_fact(spark, sf_dir))
+    return activity.rolling_active_users_approx(_visits(spark, sf_dir))
 
 
 @query
 def funnel_analysis(spark, sf_dir):
-    return funnel.funnel_analysis(_fact(spark, sf_dir))
+    return funnel.funnel_analysis(_visits(spark, sf_dir))
 
 
 @query
@@ -244,7 +255,7 @@ def fact_incremental(spark, sf_dir):
 @query
 def daily_kpis_incremental(spark, sf_dir):
     path = scratch_folder(spark, "daily_kpis_incremental") + "/daily_kpis"
-    fact = _fact(spark, sf_dir)
+    fact = _sales(spark, sf_dir)
     incremental.update_daily_kpis(fact.where(F.col("event_date") <= C.day(FIRST_DROP)), path)
     incremental.update_daily_kpis(fact, path)
     return spark.read.parquet(path)
@@ -258,7 +269,7 @@ def date_utils(spark, sf_dir):
     """The calendar helpers on every day between the first and the last event."""
     first, last = F.min("event_date").alias("first"), F.max("event_date").alias("last")
     spine = (
-        _fact(spark, sf_dir)
+        _visits(spark, sf_dir)
         .agg(first, last)
         .select("first", F.explode(F.sequence("first", "last")).alias("date_day"))
     )
@@ -282,7 +293,7 @@ def date_spine_kpis(spark, sf_dir):
 
 @query
 def event_type_dimension(spark, sf_dir):
-    return facts.by_event_type(_fact(spark, sf_dir), facts.event_types(spark))
+    return facts.by_event_type(_sales(spark, sf_dir), facts.event_types(spark))
 
 
 # ---- quality ----
@@ -326,7 +337,7 @@ def kpi_trends(spark, sf_dir):
 
 @query
 def funnel_report(spark, sf_dir):
-    return reports.funnel_report(funnel.funnel_analysis(_fact(spark, sf_dir)))
+    return reports.funnel_report(funnel.funnel_analysis(_visits(spark, sf_dir)))
 
 
 @query
@@ -361,12 +372,12 @@ def revenue_histogram(spark, sf_dir):
 
 @query
 def event_distribution(spark, sf_dir):
-    return reports.event_distribution(_fact(spark, sf_dir))
+    return reports.event_distribution(_visits(spark, sf_dir))
 
 
 @query
 def event_totals(spark, sf_dir):
-    return reports.event_totals(reports.event_distribution(_fact(spark, sf_dir)))
+    return reports.event_totals(reports.event_distribution(_visits(spark, sf_dir)))
 
 
 @query

@@ -1,6 +1,7 @@
 """Parquet tables laid out by day, rewritten by whole partitions so that every run can be repeated."""
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,6 +24,21 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    hadoop, fs = _hadoop_path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop)]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another."""
+    old, fs = _hadoop_path(spark, source)
+    new, _ = _hadoop_path(spark, target)
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
@@ -64,8 +80,12 @@ def write_days(
     return written.get["rows"]
 
 
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}__staged"
+
+
 def stage(
-    df: DataFrame, path: str, touched: DataFrame | None = None, sort: Sequence[str] = ()
+    df: DataFrame, path: str, touched: Sequence[date] = (), sort: Sequence[str] = ()
 ) -> None:
     """Write new versions of days next to the table; `finish_staged` moves them in.
 
@@ -73,31 +93,30 @@ def stage(
     that stopped in between is finished by the next one. `touched` lists the days to replace, for
     those that end up without rows.
     """
-    folder = f"{path.rstrip('/')}__staged"
-    drop(df.sparkSession, folder)
-    if touched is not None:
-        write_table(touched, f"{folder}/touched")
+    spark, folder = df.sparkSession, _staged(path)
+    drop(spark, folder)
+    if touched:
+        days = spark.createDataFrame([(str(d),) for d in touched], "day string")
+        write_table(days, f"{folder}/touched")
     write_days(df, f"{folder}/rows", sort=sort, replace="all")
 
 
 def finish_staged(spark: SparkSession, path: str) -> None:
-    """Move a completely staged write into the table and drop the staging folder; repeatable."""
-    folder = f"{path.rstrip('/')}__staged"
+    """Move the days of a complete staged write into the table; nothing is written again.
+
+    May be repeated after a stop at any point: the list of touched days is dropped before the first
+    day is moved, and a day that is still staged was not moved yet.
+    """
+    folder = _staged(path)
     if exists(spark, f"{folder}/rows/_SUCCESS"):
-        rows = read_table(spark, f"{folder}/rows")
-        if rows is not None:
-            (
-                rows.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("event_date")
-                .parquet(path)
-            )
-        touched = read_table(spark, f"{folder}/touched")
-        if touched is not None:
-            if rows is not None:
-                touched = touched.join(rows.select("event_date").distinct(), "event_date", "left_anti")
-            for day in touched.collect():  # days that lost all their rows
-                drop(spark, f"{path.rstrip('/')}/event_date={day['event_date']}")
+        staged = [name for name in children(spark, f"{folder}/rows") if "=" in name]
+        if exists(spark, f"{folder}/touched"):
+            touched = spark.read.parquet(f"{folder}/touched").collect()  # calendar days
+            for name in {f"event_date={row['day']}" for row in touched} - set(staged):
+                drop(spark, f"{path}/{name}")  # a day that lost all its rows
+            drop(spark, f"{folder}/touched")
+        for name in staged:
+            move(spark, f"{folder}/rows/{name}", f"{path}/{name}")
     drop(spark, folder)
 
 
