@@ -2,13 +2,13 @@
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import day
 from clickmill.operators.kpis import daily_kpis
 from clickmill.schemas import LOOKBACK_DAYS, MIN_EVENT_DATE
-from clickmill.sources.tables import finish_staged, read_table, stage
+from clickmill.sources.tables import finish_staged, read_table, stage, stage_whole
 
 FACT_SORT = ("user_id", "event_timestamp")
 
@@ -35,6 +35,11 @@ def missed_events(source: DataFrame, target: DataFrame, since: str) -> DataFrame
     )
 
 
+def rows_with_ids(target: DataFrame, ids: DataFrame) -> DataFrame:
+    """Ids and days of the target's rows that a batch replaces, wherever they lie."""
+    return target.select("event_id", "event_date").join(ids, "event_id", "left_semi")
+
+
 def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAYS) -> str | None:
     """Bring the fact table up to date by event id; returns the cutoff day.
 
@@ -50,7 +55,7 @@ def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAY
     else:
         new = source.where(F.col("event_date") >= day(since))
         ids = new.select("event_id")
-        hit = target.select("event_id", "event_date").join(ids, "event_id", "left_semi")
+        hit = rows_with_ids(target, ids)
         days = hit.select("event_date").union(new.select("event_date")).distinct()
         touched: list[date] = [r[0] for r in days.collect()]  # calendar days
         kept = target.where(F.col("event_date").isin(touched)).join(ids, "event_id", "left_anti")
@@ -60,10 +65,24 @@ def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAY
 
 
 def update_daily_kpis(fact: DataFrame, path: str, lookback_days: int = LOOKBACK_DAYS) -> str | None:
-    """Recompute the days from the cutoff on and leave the others; returns the cutoff day."""
+    """Recompute the days from the cutoff on and keep the others; returns the cutoff day.
+
+    The table holds one row per calendar day, so it is kept in one file and replaced as a whole.
+    """
     spark = fact.sparkSession
     finish_staged(spark, path)
-    since = cutoff(read_table(spark, path), lookback_days)
-    stage(daily_kpis(fact, since), path)
+    target = read_table(spark, path)
+    since = cutoff(target, lookback_days)
+    recent = daily_kpis(fact, since)
+    if target is not None:
+        version = Window.partitionBy("event_date").orderBy(F.desc("_new"))
+        recent = (
+            target.withColumn("_new", F.lit(0))
+            .unionByName(recent.withColumn("_new", F.lit(1)))
+            .withColumn("_rank", F.row_number().over(version))
+            .where("_rank = 1")
+            .drop("_new", "_rank")
+        )
+    stage_whole(recent.coalesce(1), path)
     finish_staged(spark, path)
     return since

@@ -11,6 +11,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # The keyed upsert looks for a batch's ids in the whole target: a Bloom filter of up to 64 MB
+    # spares the shuffle of target rows that cannot match.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(64 * 8 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "64000000",
     "spark.ui.enabled": "false",
 }
 

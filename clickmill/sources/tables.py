@@ -101,8 +101,15 @@ def stage(
     write_days(df, f"{folder}/rows", sort=sort, replace="all")
 
 
+def stage_whole(df: DataFrame, path: str) -> None:
+    """Write a new version of a small table, kept in one folder, next to the old one."""
+    folder = _staged(path)
+    drop(df.sparkSession, folder)
+    write_table(df, f"{folder}/rows")
+
+
 def finish_staged(spark: SparkSession, path: str) -> None:
-    """Move the days of a complete staged write into the table; nothing is written again.
+    """Move a complete staged write, day by day or whole, into the table; nothing is written again.
 
     May be repeated after a stop at any point: the list of touched days is dropped before the first
     day is moved, and a day that is still staged was not moved yet.
@@ -117,6 +124,8 @@ def finish_staged(spark: SparkSession, path: str) -> None:
             drop(spark, f"{folder}/touched")
         for name in staged:
             move(spark, f"{folder}/rows/{name}", f"{path}/{name}")
+        if any(name.endswith(".parquet") for name in children(spark, f"{folder}/rows")):
+            move(spark, f"{folder}/rows", path)
     drop(spark, folder)
 
 
