@@ -59,7 +59,7 @@ def cohort_activity(days: DataFrame) -> DataFrame:
 
     A window over the user's days, instead of joining them to their minimum.
     """
-    return days.select(
+    return days.where(F.col("user_id").isNotNull()).select(
         "user_id",
         F.min("event_date").over(Window.partitionBy("user_id")).alias("cohort_date"),
         F.col("event_date").alias("activity_date"),

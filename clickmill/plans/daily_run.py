@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmill.functions.columns import day as date_literal
 from clickmill.operators import bronze, silver
@@ -53,16 +54,22 @@ def ingest(
         return load(read_raw_any(spark, paths))  # some file has other columns: look at each header
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, without rows before its first write."""
+    table = read_table(spark, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
+
+
 def read_bronze(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
     """Accepted rows, of one day if given (a filter pushed to the files)."""
-    rows = read_table(spark, f"{root}/bronze", BRONZE_ROWS)
+    rows = _read(spark, f"{root}/bronze", BRONZE_ROWS)
     if day:
         rows = rows.where(F.col("event_date") == date_literal(day))
     return bronze.accepted(rows)
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    return bronze.rejected(read_table(spark, f"{root}/bronze", BRONZE_ROWS))
+    return bronze.rejected(_read(spark, f"{root}/bronze", BRONZE_ROWS))
 
 
 def build_silver(spark: SparkSession, root: str, now: str, day: str | None = None) -> int:
@@ -74,12 +81,17 @@ def build_silver(spark: SparkSession, root: str, now: str, day: str | None = Non
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(SILVER).parquet(f"{root}/silver")
+    return _read(spark, f"{root}/silver", SILVER)
 
 
 def build_marts(spark: SparkSession, root: str, as_of: str) -> None:
-    """Incremental fact and daily figures; full rebuild of the other tables from the written fact."""
+    """Incremental fact and daily figures; full rebuild of the other tables from the written fact.
+
+    Nothing is built while there are no valid rows.
+    """
     stg = stg_events(read_silver(spark, root))
+    if stg.isEmpty():
+        return
     upsert_facts(fact_events(stg), f"{root}/fact_events")
     fact = spark.read.parquet(f"{root}/fact_events")
     update_daily_kpis(fact, f"{root}/daily_kpis")

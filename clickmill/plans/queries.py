@@ -403,11 +403,11 @@ def stream_bronze(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """The dirty events read as a stream in several batches, each id kept once."""
+    """The dirty events read as a stream, each id kept once."""
     folder = scratch_folder(spark, "stream_dedup")
     rows = _dirty(spark, sf_dir)
     rows.write.parquet(f"{folder}/events")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/events")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/events")
     file_stream.write_available(
         file_stream.dedup_stream(stream), f"{folder}/unique", f"{folder}/checkpoint"
     )

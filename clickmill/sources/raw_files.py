@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +24,18 @@ def list_files(
 ) -> DataFrame:
     """`path`, `source_path`, `length` of the CSV files in one day's folder, or in all of them.
 
-    Only the listing is read: the file contents are pruned away.
+    Only the listing is read: the file contents are pruned away. No such folder means no files.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(f"{root.rstrip('/')}/{folders}={day or '*'}")
-        .select("path", file_key(F.col("path")).alias("source_path"), "length")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.option("pathGlobFilter", "*.csv").load(
+            f"{root.rstrip('/')}/{folders}={day or '*'}"
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, source_path string, length bigint")
+    return files.select("path", file_key(F.col("path")).alias("source_path"), "length")
 
 
 def not_loaded(files: DataFrame, loaded: DataFrame | None) -> DataFrame:

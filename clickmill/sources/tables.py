@@ -65,7 +65,8 @@ def write_days(
     """Replace the partitions that `df` holds rows for (or the whole table); returns the row count.
 
     Rebalancing by day makes full-size files and lets adaptive execution split a day that is much
-    larger than the rest. Rows are counted as they are written, without a second job.
+    larger than the rest. Rows are counted as they are written, without a second job; tasks repeated
+    after a lost executor may count twice.
     """
     written = Observation()
     out = df.observe(written, F.count(F.lit(1)).alias("rows")).hint("rebalance", "event_date")

@@ -52,3 +52,21 @@ def _empty(spark, tmp_path, root):
     folder = tmp_path / "empty"
     daily_run.read_silver(spark, root).limit(0).write.parquet(str(folder / "silver"))
     return folder
+
+
+def test_no_files_no_tables(spark, tmp_path):
+    counts = daily_run.run(spark, str(tmp_path / "landing"), str(tmp_path / "root"), NOW, AS_OF, "b", "2026-01-15")
+    assert counts == {"bronze": 0, "silver": 0}
+    with pytest.raises(QualityError, match="row_count"):
+        daily_run.check(spark, str(tmp_path / "root"), "2026-01-15")
+
+
+def test_a_day_without_files_leaves_the_others(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "root")
+    deliver(landing, "2026-01-15", "a")
+    daily_run.run(spark, str(landing), root, NOW, AS_OF, "b1", "2026-01-15")
+    before = snapshot(spark, root)
+    assert daily_run.run(spark, str(landing), root, NOW, AS_OF, "b2", "2026-01-16") == {"bronze": 0, "silver": 0}
+    assert snapshot(spark, root) == before
+    checks = daily_run.check(spark, root, "2026-01-16")  # a warning, as other days have rows
+    assert checks.where("NOT passed").count() == 0

@@ -134,6 +134,12 @@ def test_retention_windows(spark):
     assert [r[f"retention_rate_week_{w}"] for w in (1, 2, 3, 4)] == [50.0, 50.0, 0.0, 0.0]
 
 
+def test_rows_without_user_belong_to_no_cohort(spark):
+    days = days_frame(spark, [("a", D0), (None, D0)])
+    assert rows(retention.retention(days), "cohort_size") == [(1,)]
+    assert rows(activity.rolling_active_users(days)) == [(D0, 1)]
+
+
 def test_retention_equals_conditional_distinct_counts(spark):
     rng = random.Random(7)
     pairs = sorted({(f"u{rng.randrange(40)}", D0 + timedelta(days=rng.randrange(60))) for _ in range(250)})
