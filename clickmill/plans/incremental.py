@@ -2,13 +2,13 @@
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import day
 from clickmill.operators.kpis import daily_kpis
 from clickmill.schemas import LOOKBACK_DAYS, MIN_EVENT_DATE
-from clickmill.sources.tables import finish_staged, read_table, stage, stage_whole
+from clickmill.sources.tables import drop, finish_staged, read_table, stage, stage_whole, write_table
 
 FACT_SORT = ("user_id", "event_timestamp")
 
@@ -35,9 +35,22 @@ def missed_events(source: DataFrame, target: DataFrame, since: str) -> DataFrame
     )
 
 
+def batch_ids(new: DataFrame, path: str) -> None:
+    """Write the ids and days of a batch next to the table: the source is read for them once, copies
+    of an id are combined, and the joins below know the real size."""
+    write_table(new.select("event_id", "event_date").distinct(), f"{path}__ids")
+
+
+def read_batch_ids(spark: SparkSession, path: str, since: str) -> DataFrame:
+    """All written ids; the filter holds for each and tells the planner that they are a selection."""
+    return spark.read.parquet(f"{path}__ids").where(F.col("event_date") >= day(since))
+
+
 def rows_with_ids(target: DataFrame, ids: DataFrame) -> DataFrame:
     """Ids and days of the target's rows that a batch replaces, wherever they lie."""
-    return target.select("event_id", "event_date").join(ids, "event_id", "left_semi")
+    return target.select("event_id", "event_date").join(
+        ids.select("event_id"), "event_id", "left_semi"
+    )
 
 
 def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAYS) -> str | None:
@@ -54,12 +67,14 @@ def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAY
         stage(source, path, sort=FACT_SORT)
     else:
         new = source.where(F.col("event_date") >= day(since))
-        ids = new.select("event_id")
+        batch_ids(new, path)
+        ids = read_batch_ids(spark, path, since)
         hit = rows_with_ids(target, ids)
-        days = hit.select("event_date").union(new.select("event_date")).distinct()
+        days = hit.select("event_date").union(ids.select("event_date")).distinct()
         touched: list[date] = [r[0] for r in days.collect()]  # calendar days
-        kept = target.where(F.col("event_date").isin(touched)).join(ids, "event_id", "left_anti")
+        kept = target.where(F.col("event_date").isin(touched)).join(ids.select("event_id"), "event_id", "left_anti")
         stage(kept.unionByName(new), path, touched, FACT_SORT)
+        drop(spark, f"{path}__ids")
     finish_staged(spark, path)
     return since
 
