@@ -25,13 +25,10 @@ def rolling_active_users(days: DataFrame, window: int = 7, since: str | None = N
     last = F.least(F.date_add("event_date", window - 1), F.date_sub(following, 1))
     counted = (
         days.where(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
-        .withColumn("last", last)
-        .select("event_date", F.explode(F.sequence("event_date", "last")).alias("day"))
-        .groupBy("day")
-        .agg(
-            F.count(F.lit(1)).alias("wau"),
-            F.count_if(F.col("day") == F.col("event_date")).alias("own"),
-        )
+        .withColumn("reach", F.datediff(last, "event_date"))
+        .select("event_date", F.explode(F.sequence(F.lit(0), "reach")).alias("later"))
+        .groupBy(F.date_add("event_date", F.col("later")).alias("day"))
+        .agg(F.count(F.lit(1)).alias("wau"), F.count_if(F.col("later") == 0).alias("own"))
         .where("own > 0")
         .select(F.col("day").alias("event_date"), "wau")
     )
