@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from clickmill.plans.oracles import ORACLES as SQL
+from clickmill.plans.queries import REGISTRY as QUERIES
 from helpers import plan
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 WRITES = {n for n in QUERIES if n.startswith("stream_") or "incremental" in n}
 
 
