@@ -14,8 +14,8 @@ checked if it shares as many prefix shingles as the smaller `l` of the two asks
 3. In each shingle's list, every node is checked against one node. Lists whose nodes are all connected
    by now need no more pairs, so a large group of near copies costs its size and not its square.
 4. In the other lists, all pairs of unconnected nodes that pass the size and position bounds and share
-   enough are checked, exactly, on the whole sets. Nodes of long lists are compared in blocks, and only
-   links are written. No list is cut off.
+   enough are checked, exactly, on the whole sets. Nodes of long lists are compared in blocks, which
+   write what connects them. No list is cut off.
 
 Nulls and empty texts: an empty set, linked with nothing. A null id is carried; a component's id is its
 smallest id. Repeated rows are copies. Long texts are hashed whole. An empty table gives an empty
@@ -42,6 +42,7 @@ ORDERED = 400_000  # commonest shingles that are ordered by number; all others b
 SHORT = 64  # nodes in a list whose pairs are written out
 TOGETHER = 512  # nodes of a longer list that are compared at once with as many others
 SENT = 2_000_000  # signatures that may go to every task; more are joined by shuffle
+NO_ID = -(2**63)  # stands for a null id
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, N, np.uint64) | np.uint64(1)
 
 
@@ -175,7 +176,7 @@ def _runs(
         yield kept, np.array([0])
 
 
-LISTS = "shingle long, sig long, n int, at int, asks int, first long, near boolean"
+LISTS = "shingle long, sig long, n int, at int, asks int, first long, needs int"
 
 
 def _possible(n, at, other_n, other_at, percent: int):
@@ -185,8 +186,8 @@ def _possible(n, at, other_n, other_at, percent: int):
 
 
 def _shared(percent: int):
-    """The rows of lists with several nodes, each with its list's smallest node in `first`, and whether
-    the two can be similar."""
+    """The rows of lists with several nodes, each with its list's smallest node in `first`, and how many
+    prefix shingles the two must share; 0 if they cannot be similar."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for now, starts in _runs(batches):
@@ -197,13 +198,15 @@ def _shared(percent: int):
             again = np.zeros(len(first), bool)  # the same node from another task
             again[1:] = (now["sig"][1:] == now["sig"][:-1]) & (now["shingle"][1:] == now["shingle"][:-1])
             n, at = now["n"].astype(np.int64), now["at"].astype(np.int64)
+            asks = now["asks"].astype(np.int64)
             near = (now["sig"] != first) & _possible(n, at, n[head], at[head], percent)
+            needs = np.where(near, _asked(n, asks, n[head], asks[head], percent), 0).astype(np.int32)
             keep = several & ~again
             if keep.any():
-                columns = [*(now[c] for c in ("shingle", "sig", "n", "at", "asks")), first, near]
+                columns = [*(now[c] for c in ("shingle", "sig", "n", "at", "asks")), first, needs]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c[keep]) for c in columns],
-                    ["shingle", "sig", "n", "at", "asks", "first", "near"],
+                    ["shingle", "sig", "n", "at", "asks", "first", "needs"],
                 )
 
     return rows
@@ -212,71 +215,73 @@ def _shared(percent: int):
 PAIRS = "a long, b long, asks int"
 
 
+def _asked(n, asks, other_n, other_asks, percent: int):
+    """How many prefix shingles two similar sets share at least: the smaller `l`, and what their overlap
+    still lacks if all that one of them has behind its prefix is shared."""
+    least, other_least = -(-percent * n // 100), -(-percent * other_n // 100)
+    overlap = -(-percent * (n + other_n) // (100 + percent))
+    behind = np.maximum(least - asks, other_least - other_asks)
+    return np.maximum(np.minimum(asks, other_asks), overlap - behind)
+
+
 def _pairs(percent: int):
     """All pairs of unconnected nodes of a list that pass the bounds of size and position."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for now, starts in _runs(batches):
-            stops = np.append(starts[1:], len(now["sig"]))
-            for start, stop in zip(starts, stops):
-                by_size = start + np.argsort(now["n"][start:stop], kind="stable")
-                sig, n, at, asks, root = (now[c][by_size] for c in ("sig", "n", "at", "asks", "root"))
-                n, at = n.astype(np.int64), at.astype(np.int64)
-                ends = np.searchsorted(n, 100 * n // percent, "right")
-                out, waiting = [], 0
-                for i in range(len(sig) - 1):
-                    j = np.arange(i + 1, ends[i])
-                    j = j[(root[j] != root[i]) & _possible(n[i], at[i], n[j], at[j], percent)]
-                    if len(j):
-                        out.append((np.full(len(j), sig[i]), sig[j], np.minimum(asks[i], asks[j])))
-                        waiting += len(j)
-                    if out and (waiting > 50_000 or i == len(sig) - 2):
-                        a, b, least = (np.concatenate(x) for x in zip(*out))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(least.astype(np.int32))],
-                            ["a", "b", "asks"],
-                        )
-                        out, waiting = [], 0
-                if out:
-                    a, b, least = (np.concatenate(x) for x in zip(*out))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(least.astype(np.int32))],
-                        ["a", "b", "asks"],
-                    )
+            sig, root = now["sig"], now["root"]
+            n, at, asks = (now[c].astype(np.int64) for c in ("n", "at", "asks"))
+            stops = np.append(starts[1:], len(sig))
+            stop = np.repeat(stops, stops - starts)
+            for step in range(1, int((stops - starts).max())):
+                i = np.arange(len(sig) - step)
+                i = i[i + step < stop[: len(i)]]
+                i = i[root[i] != root[i + step]]
+                j = i + step
+                good = _possible(n[i], at[i], n[j], at[j], percent)
+                i, j = i[good], j[good]
+                if len(i):
+                    needs = _asked(n[i], asks[i], n[j], asks[j], percent)
+                    ends = (np.minimum(sig[i], sig[j]), np.maximum(sig[i], sig[j]), needs.astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b", "asks"])
 
     return rows
 
 
 def _sets(wanted: np.ndarray | None):
+    """Sets of the documents in `wanted` (ids; None: of all), 48 bits of each shingle."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
         for batch in batches:
-            out: list[tuple[int, bytes]] = []
-            for shingles in shingle_sets(batch.column(0)):
-                if not len(shingles) or (sig := signature(shingles)) in done:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            if wanted is not None:
+                at = np.minimum(np.searchsorted(wanted, ids), len(wanted) - 1)
+                batch = batch.filter(pa.array(wanted[at] == ids))
+                if not batch.num_rows:
                     continue
-                value = int(signed([sig])[0])
-                if wanted is not None:
-                    at = int(np.searchsorted(wanted, value))
-                    if at == len(wanted) or wanted[at] != value:
-                        continue
-                done.add(sig)
-                out.append((value, shingles.tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())],
-                    ["sig", "shingles"],
-                )
+            sets = list(shingle_sets(batch.column(1)))
+            values = [signature(one) if len(one) else 0 for one in sets]
+            packed = [one.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for one in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(signed(values)), pa.array(packed, pa.binary())],
+                ["id", "sig", "shingles"],
+            )
 
     return rows
 
 
+def _unpacked(held: bytes) -> np.ndarray:
+    out = np.zeros((len(held) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(held, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64)[:, 0]
+
+
 def _similar(percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column("one"), batch.column("other")):
-                one, other = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                one, other = _unpacked(x.as_py()), _unpacked(y.as_py())
                 if len(one) > len(other):
                     one, other = other, one
                 at = np.minimum(np.searchsorted(other, one), len(other) - 1)
@@ -289,15 +294,27 @@ def _similar(percent: int):
     return rows
 
 
+def _connected(linked: np.ndarray) -> np.ndarray:
+    """For a symmetric matrix of links, the first node that each one reaches."""
+    least = np.arange(len(linked))
+    while True:
+        met = np.minimum(least, np.where(linked, least[None, :], len(least)).min(1, initial=len(least)))
+        met = met[met]
+        if (met == least).all():
+            return least
+        least = met
+
+
 def _dense(percent: int):
-    """Exact links between unconnected nodes of two blocks of a long list, by one product of the matrix
-    node x shingle with its transpose, made in strips of shingles."""
+    """Links between unconnected nodes of two blocks of a long list, by one product of the matrix
+    node x shingle with its transpose, made in strips of shingles. Of the links, as many are written as
+    connect the same nodes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for now, starts in _runs(batches, ("shingle", "x", "y")):
             for start, stop in zip(starts, np.append(starts[1:], len(now["sig"]))):
                 sig, root, mine = (now[c][start:stop] for c in ("sig", "root", "mine"))
-                sets = [np.frombuffer(b, np.uint64) for b in now["shingles"][start:stop]]
+                sets = [_unpacked(held) for held in now["shingles"][start:stop]]
                 sizes = np.array([len(one) for one in sets])
                 _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
                 column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]
@@ -315,38 +332,47 @@ def _dense(percent: int):
                 good = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
                 good &= root[:, None] != root[None, :]
                 good &= (mine == now["x"][start])[:, None] & (mine == now["y"][start])[None, :]
-                i, j = np.nonzero(good)
+                least = _connected(good | good.T)
+                i = np.flatnonzero(least != np.arange(len(sig)))
                 if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(sig[j])], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[least[i]]), pa.array(sig[i])], ["a", "b"])
 
     return rows
 
 
-def _gathered(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The whole sets of the nodes in `sig`, which the texts give once more."""
-    columns = "sig long, shingles binary"
-    if nodes.count() <= SENT:
-        wanted = np.sort(nodes.toArrow().column(0).to_numpy())
-        sets = texts.mapInArrow(_sets(wanted), columns)
-    else:
-        sets = texts.mapInArrow(_sets(None), columns).join(nodes, "sig", "left_semi")
-    return written(sets, "shingles").dropDuplicates(["sig"])
+class Holders:
+    """The texts, and for every signature the one document that shows its set when it is asked for."""
+
+    def __init__(self, docs: DataFrame, described: DataFrame):
+        self.texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+        self.of = described.where("n > 0").groupBy("sig").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"))
 
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """`sig`, `shingles`: the whole sets of the nodes in `sig`, made from the texts once more."""
+        wanted = written(self.of.join(nodes, "sig"), "wanted")
+        columns = "id long, sig long, shingles binary"
+        if 0 < wanted.count() <= SENT:
+            ids = np.sort(wanted.select("id").toArrow().column(0).to_numpy())
+            found = self.texts.mapInArrow(_sets(ids), columns)
+        else:
+            found = self.texts.mapInArrow(_sets(None), columns).join(wanted, ["id", "sig"], "left_semi")
+        return written(found.select("sig", "shingles"), "shingles")
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+
+def _verified(pairs: DataFrame, holders: Holders, percent: int) -> DataFrame:
     """The pairs `a`, `b` that are similar enough, by their whole sets."""
     pairs = written(pairs.select("a", "b"), "pairs")
-    sets = _gathered(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct(), texts)
+    sets = holders.sets(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
     one = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("other"))
     other = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("one"))
     both = pairs.join(one, "b").join(other, "a").select("a", "b", "one", "other")
     return written(both.mapInArrow(_similar(percent), "a long, b long"), "links")
 
 
-def _linked_in_long_lists(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _linked_in_long_lists(lists: DataFrame, holders: Holders, percent: int) -> DataFrame:
     """Links between nodes of long lists: each list in blocks, each pair of blocks a group by itself."""
     held = written(lists.select("shingle", "sig", "root", "size"), "long")
-    sets = _gathered(held.select("sig").distinct(), texts)
+    sets = holders.sets(held.select("sig").distinct())
     blocks = F.ceil(F.col("size") / TOGETHER).cast("int")
     mine = F.pmod(F.xxhash64("sig"), blocks).cast("int")
     others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
@@ -361,11 +387,11 @@ def _linked_in_long_lists(lists: DataFrame, texts: DataFrame, percent: int) -> D
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every row."""
-    texts = docs.select("text")
     described = written(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_describe, "doc_id long, n long, sig long"),
         "sets",
     )
+    holders = Holders(docs, described)
     often = (
         described.where("n = -1").groupBy("sig").agg(F.sum("doc_id").alias("number"))
         .orderBy(F.desc("number"), "sig").limit(ORDERED).toArrow()
@@ -373,14 +399,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     common, numbers = (often.column(i).to_numpy() for i in range(2))
     common = common.view(np.uint64)
     order = np.argsort(common)
-    index = texts.mapInArrow(
+    index = docs.select("text").mapInArrow(
         _prefixes(common[order], numbers[order], percent), "shingle long, sig long, n int, at int, asks int"
     )
     lists = written(
         index.repartition("shingle").sortWithinPartitions("shingle", "sig").mapInArrow(_shared(percent), LISTS), "lists"
     )
-    stars = lists.where("near").select(F.col("first").alias("a"), F.col("sig").alias("b")).distinct()
-    links = _verified(stars, texts, percent)
+    stars = (
+        lists.where("needs > 0").groupBy(F.col("first").alias("a"), F.col("sig").alias("b"))
+        .agg(F.count(F.lit(1)).alias("met"), F.min("needs").alias("needs")).where("met >= needs")
+    )
+    links = _verified(stars, holders, percent)
     roots = components(links)
     rooted = lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "root", F.coalesce("root", "sig")
@@ -389,15 +418,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     mixed = rooted.groupBy("shingle").agg(
         F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size")
     )
-    open_lists = rooted.join(mixed.where("x <> y").select("shingle", "size"), "shingle").drop("first", "near")
+    open_lists = rooted.join(mixed.where("x <> y").select("shingle", "size"), "shingle").drop("first", "needs")
     rest = (
         open_lists.where(F.col("size") <= SHORT).drop("size")
         .repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_pairs(percent), PAIRS)
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("asks").alias("asks"))
         .where("met >= asks")
     )
-    links = links.unionByName(_verified(rest, texts, percent)).unionByName(
-        _linked_in_long_lists(open_lists.where(F.col("size") > SHORT), texts, percent)
+    links = links.unionByName(_verified(rest, holders, percent)).unionByName(
+        _linked_in_long_lists(open_lists.where(F.col("size") > SHORT), holders, percent)
     )
     roots = components(links)
 
