@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import documents, written
@@ -443,6 +443,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents without near duplicates: of each group the smallest id stays, with its first row.
+
+    Rows that share an id and a text are one document; rows that share an id only are kept or dropped
+    together. Rows without a component (no text, no id) stay.
+    """
+    groups = near_duplicates(docs, percent)
+    stay = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__doc")).distinct()
+    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+    return kept.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(docs.columns)
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 

@@ -1,11 +1,17 @@
 """The registered queries of this package, and their SQL where SQL can express them."""
 
-from clickmill.llm import mixing, ngram_join, packing
+from clickmill.llm import line_dedup, mixing, ngram_join, packing, toxicity
 
 QUERIES = {
     "op4_packing": packing.op4_packing,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_mixing": mixing.op10_mixing,
 }
 
-SQL = {"op9_ngram_join": ngram_join.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
+SQL = {
+    "op5_line_dedup": line_dedup.OP5_SQL,
+    "op9_ngram_join": ngram_join.OP9_SQL,
+    "op10_mixing": mixing.OP10_SQL,
+}

@@ -1,7 +1,7 @@
 """Words of Arrow text columns as 64-bit hashes, computed on the byte buffers without Python strings.
 
-A word is a run of bytes other than space and 0x09-0x0D, with A-Z read as a-z. A null text counts as
-an empty one. Columns are taken in blocks of whole rows of about `BLOCK` bytes; a longer row is hashed
+A word is a run of bytes other than space and 0x09-0x0D, with A-Z read as a-z; on request, a run of
+ASCII letters, digits and non-ASCII characters. A null text counts as an empty one. Columns are taken in blocks of whole rows of about `BLOCK` bytes; a longer row is hashed
 in pieces cut at white space, so that memory does not grow with a text beyond its words' hashes.
 """
 
@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 BLOCK = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_MARKS = np.ones(256, bool)  # all ASCII but letters and digits
+_MARKS[128:] = _MARKS[48:58] = _MARKS[65:91] = _MARKS[97:123] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -40,12 +42,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the number of words up to each offset."""
+def _word_hashes(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray, stem: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word (or of its first `stem` bytes), and the number of words up to each offset."""
     n = len(data)
     if not n:
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~gaps[data]
     edges = offsets[(offsets > 0) & (offsets < n)]
     begin, end = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
@@ -53,6 +57,8 @@ def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     begin[edges] = inside[edges]
     end[edges - 1] = inside[edges - 1]
     first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    if stem:
+        last = np.minimum(last, first + stem)
     up, down = _powers(n)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
@@ -89,20 +95,23 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return np.frombuffer(held, np.uint8) if held else np.empty(0, np.uint8), offsets
 
 
-def hashed_words(column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def hashed_words(
+    column, marks_apart: bool = False, stem: int = 0
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bounds, hashes): the words of row `first + i` are hashes[bounds[i]:bounds[i + 1]]."""
+    gaps = _MARKS if marks_apart else _SPACE
     data, offsets = buffers(column)
     row, rows = 0, len(offsets) - 1
     while row < rows:
         until = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK, "right")) - 1)
         start, stop = int(offsets[row]), int(offsets[until])
         if until > row + 1 or stop - start <= BLOCK:
-            hashes, bounds = _word_hashes(data[start:stop], offsets[row : until + 1] - start)
+            hashes, bounds = _word_hashes(data[start:stop], offsets[row : until + 1] - start, gaps, stem)
         else:
             parts = []
             while start < stop:
                 cut = _cut(data, start, stop)
-                parts.append(_word_hashes(data[start:cut], np.array([0, cut - start]))[0])
+                parts.append(_word_hashes(data[start:cut], np.array([0, cut - start]), gaps, stem)[0])
                 start = cut
             hashes = np.concatenate(parts)
             bounds = np.array([0, len(hashes)])
