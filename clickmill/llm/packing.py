@@ -119,9 +119,18 @@ def _fill(prices: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
     return uses
 
 
-def _first_basis(lengths: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns that each use up one more length, fullest first: a triangular and feasible start."""
-    columns, amounts, left = [], [], counts.astype(float)
+def _times(row: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Vector times matrix without the threads of a linear algebra library, which a driver need not have."""
+    return np.einsum("i,ij->j", row, matrix)
+
+
+def _first_basis(
+    lengths: np.ndarray, counts: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Patterns that each use up one more length, fullest first, how often each is opened, and their
+    inverse: a feasible start. No later pattern has a length that is used up, so the matrix is triangular
+    in the order in which lengths are used up."""
+    columns, amounts, turns, left = [], [], [], counts.astype(float)
     open_ = np.ones(len(lengths), bool)
     while open_.any():
         at = np.flatnonzero(open_)
@@ -138,7 +147,14 @@ def _first_basis(lengths: np.ndarray, counts: np.ndarray, width: int) -> tuple[n
             amounts.append(0.0)
         left[done] = 0
         open_[done] = False
-    return np.array(columns).T, np.array(amounts)
+        turns.extend(done.tolist())
+    basis = np.array(columns).T
+    inverse = np.zeros_like(basis)
+    for i, length in enumerate(turns):
+        unit = np.zeros(len(turns))
+        unit[length] = 1
+        inverse[i] = (unit - _times(basis[length, :i], inverse[:i])) / basis[length, i]
+    return basis, np.array(amounts), inverse
 
 
 def column_generation(
@@ -149,21 +165,20 @@ def column_generation(
     Simplex steps on the patterns found so far; the knapsack prices the next one. Every step's solution
     covers the histogram, so `rounds` bounds the work and not what is packed.
     """
-    basis, amounts = _first_basis(lengths, counts, width)
+    basis, amounts, inverse = _first_basis(lengths, counts, width)
     costs = np.ones(len(lengths))
-    inverse = np.linalg.inv(basis)
     least = (lengths * counts).sum() / width
     for _ in range(rounds):
         if costs @ amounts - least < 0.5:
             break
-        prices = costs @ inverse
+        prices = _times(costs, inverse)
         if prices.min() < -1e-9:  # a length that is better covered too often
             column, cost = -np.eye(len(lengths))[int(np.argmin(prices))], 0.0
         else:
             column, cost = _fill(prices, lengths, width), 1.0
         if cost - prices @ column > -1e-7:
             break
-        move = inverse @ column
+        move = np.einsum("ij,j->i", inverse, column)
         ratio = np.where(move > 1e-9, amounts / np.where(move > 1e-9, move, 1), np.inf)
         out = int(np.argmin(ratio))
         if not np.isfinite(ratio[out]):
@@ -173,7 +188,7 @@ def column_generation(
         amounts[out] = step
         inverse[out] /= move[out]
         move[out] = 0
-        inverse -= np.outer(move, inverse[out])
+        inverse -= move[:, None] * inverse[out]
         basis[:, out], costs[out] = column, cost
     return basis[:, costs > 0], amounts[costs > 0]
 
