@@ -1,0 +1,340 @@
+"""Each operator against its SQL or a plain version, and on odd rows."""
+
+import random
+import sys
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import brute  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from clickmill.llm import (  # noqa: E402
+    common, fingerprints, katz, language, licenses, line_dedup, mixing, ngram_join, packing, text, topk_search, toxicity,
+)
+from clickmill.llm.queries import QUERIES, SQL  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def canonical(columns, records):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted(repr(tuple(r[i] for i in order)) for r in records)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for file in Path(SF).glob("*.parquet"):
+        duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    df, want = QUERIES[name](spark, SF), duck.execute(SQL[name])
+    assert canonical(df.columns, df.collect()) == canonical([c[0] for c in want.description], want.fetchall())
+
+
+@pytest.mark.parametrize("block", [text.BLOCK, 16])
+def test_words_are_told_apart_alike(monkeypatch, block):
+    monkeypatch.setattr(text, "BLOCK", block)
+    monkeypatch.setattr(text, "_POWERS", {})
+    draw = random.Random(1)
+    rows = [None, "", "  ", "A b a", " é Über ab\tAB\x0b.c ", "a" * 40] + [
+        "".join(draw.choice("aB \n") for _ in range(draw.randint(0, 60))) for _ in range(200)
+    ]
+    got = [h[b[i] : b[i + 1]] for _, b, h in text.hashed_words(pa.array(rows)) for i in range(len(b) - 1)]
+    known = {}
+    for row, hashes in zip(rows, got, strict=True):
+        assert len(brute.words(row)) == len(hashes)
+        assert all(known.setdefault(w, h) == h for w, h in zip(brute.words(row), hashes))
+    assert len(set(known.values())) == len(known)
+
+
+def test_katz_equals_plain_version(spark, odd, monkeypatch):
+    docs = common.documents(spark, SF)
+    held = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = {i: x for (i, _), x in zip(held, brute.katz(held))}
+    for head, top in ((katz.HEAD, katz.TOP), (300, 16)):
+        monkeypatch.setattr(katz, "HEAD", head)
+        monkeypatch.setattr(katz, "TOP", top)
+        for r in katz.op1_katz(spark, SF).collect():
+            assert r[1:6] == pytest.approx(want[r.doc_id], rel=1e-9), r.doc_id
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    got = katz.score(odd, common.fold(F.col("doc_id"), 10) == 0).collect()
+    assert sorted(r.score for r in got) == pytest.approx(sorted(x[4] for x in brute.katz(rows)), rel=1e-9)
+
+
+def test_language_on_held_out_rows_and_odd_ones(spark, odd):
+    sf = SF.replace("0.001", "0.01")
+    truth = {r.doc_id: r.lang for r in common.documents(spark, sf).select("doc_id", "lang").collect()}
+    got = [r for r in language.op2_language(spark, sf).collect() if r.held_out]
+    assert all(r.held_out == (brute.fold(r.doc_id, 5) == 0) and 0 <= r.score <= 1 for r in got)
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in got]) > 0.95
+    rows = language.predict(odd, language.train(odd)).collect()
+    assert len(rows) == 9 and {r.doc_id for r in rows if r.lang_pred == "und"} == {1, 2, 3}
+    blank = language.predict(odd, language.train(odd.where("lang IS NULL"))).collect()
+    assert {(r.lang_pred, r.score) for r in blank} == {("und", 0.0)}
+
+
+def test_prefix_hashes_answer_spans_and_extensions():
+    draw = random.Random(2)
+    one = "".join(draw.choice("ab") for _ in range(300))
+    other = one[40:200] + "c" + one[:50]
+    a, b = fingerprints.Prefix(one), fingerprints.Prefix(other)
+    for _ in range(300):
+        i, j, n = draw.randrange(300), draw.randrange(len(other)), draw.randrange(20)
+        x, y = one[i : i + n], other[j : j + n]
+        assert (a.span(i, i + len(x)) == b.span(j, j + len(y))) == (x == y)
+        same = next((k for k, (p, q) in enumerate(zip(one[i:], other[j:])) if p != q), min(300 - i, len(other) - j))
+        assert a.extension(i, b, j) == same
+
+
+def test_fingerprints_equal_plain_version(spark, odd):
+    import hashlib
+
+    def check(rows, got):
+        assert len(rows) == len(got)
+        for i, r in enumerate(got):
+            one, after = rows[i][1] or "", rows[(i + 1) % len(rows)][1] or ""
+            n = len(one)
+            edited = one[: n - n // 3] + after[: n // 3]
+            assert r["n_chars"] == n and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+            doc = fingerprints.Document(0, edited)
+            assert r["edited_fingerprint"] == fingerprints.written_out(
+                doc.prefix.n, doc.prefix.span(0, doc.prefix.n), doc.sketch
+            )
+            assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+
+    rows = sorted(((r.doc_id, r.text) for r in common.documents(spark, SF).collect()), reverse=True)
+    got = sorted(fingerprints.op3_fingerprints(spark, SF).collect(), key=lambda r: -r.doc_id)
+    check(rows, got)
+    assert np.mean([r.near_edited for r in got]) > 0.3 > np.mean([r.near_next for r in got])
+    out = fingerprints.fingerprints(odd).collect()
+    assert len(out) == 9 and len({r.fingerprint for r in out}) == 6  # three equal texts; null and empty are equal
+    alone = fingerprints.fingerprints(odd.where("doc_id = 6")).collect()
+    assert alone[0].near_next == 1.0
+
+
+def whole_sequences(pieces, docs):
+    """Every id lies in one piece, pieces stand without gaps, checksums are right."""
+    encoder = packing.Encoder(packing.public_vocabulary())
+    places = {}
+    for r in pieces:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in places.values():
+        held.sort()
+        assert [o for o, _ in held] == list(np.cumsum([0, *(n for _, n in held)])[:-1])
+        assert sum(n for _, n in held) <= 1024
+    want = sorted(
+        (doc_id or 0, start, min(1024, len(ids) // 4 - start), zlib.crc32(ids[4 * start : 4 * start + 4096]), len(ids) // 4)
+        for doc_id, body in docs
+        for ids in [encoder.whole(body or "") + b"\0\0\0\0"]
+        for start in range(0, len(ids) // 4, 1024)
+    )
+    assert sorted((r.doc_id or 0, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in pieces) == want
+    return places
+
+
+def test_packing_is_an_exact_round_trip(spark, odd):
+    rows = [(r.doc_id, r.text) for r in common.documents(spark, SF).collect()]
+    places = whole_sequences(packing.op4_packing(spark, SF).collect(), rows)
+    used = [sum(n for _, n in held) for held in places.values()]
+    padded = [1 << (n - 1).bit_length() for n in used]
+    assert sum(padded) - sum(used) < 0.03 * sum(used)
+    whole_sequences(packing.pack(odd, packing.public_vocabulary()).collect(), [(r.doc_id, r.text) for r in odd.collect()])
+
+
+def test_ids_are_those_of_the_tokenizers_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.encode_special_tokens = True
+    encoder, draw = packing.Encoder(packing.public_vocabulary()), random.Random(3)
+    parts = ["a", "the", " ", "  ", "\n", "\t", "é", "1", "'s", "...", "<|endoftext|>", " ", "漢字", "😀", "\r\n"]
+    for _ in range(1500):
+        body = "".join(draw.choice(parts) for _ in range(draw.randint(0, 14)))
+        assert encoder.whole(body) == np.array(other.encode(body, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_patterns_cover_the_histogram_with_little_waste():
+    draw = random.Random(4)
+    for n in (0, 1, 40, 3000):
+        counts = {}
+        for _ in range(n):
+            length = draw.randint(1, 127)
+            counts[length] = counts.get(length, 0) + 1
+        made, got = packing.patterns(counts, 128), {}
+        for pattern, times in made:
+            assert sum(a * b for a, b in pattern.items()) <= 128
+            for length, each in pattern.items():
+                got[length] = got.get(length, 0) + each * times
+        assert got == counts
+        if n == 3000:
+            assert sum(t for _, t in made) < 1.02 * sum(a * b for a, b in counts.items()) / 128
+
+
+def test_line_dedup_equals_plain_version_and_takes_odd_rows(docs, odd):
+    draw = random.Random(5)
+    rows = [(i, "\n".join(draw.choice("abc") for _ in range(draw.randint(0, 9)))) for i in range(60)] + [(60, None)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(rows)).collect()}
+    assert [got[i] for i, _ in rows] == brute.dedup_lines(rows)
+    out = line_dedup.dedup_lines(odd.withColumn("n_removed", F.lit("mine"))).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in out if r.n_removed) == [(5, 4)]
+
+
+def test_licenses_equal_plain_version(odd, docs):
+    import re
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    rows = [
+        (1, "Licensed under the Apache\nLicense, Version 2.0. MIT license? mit LICENSE"),
+        (2, "x Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            "associated documentation files, to deal in the Software without restriction"),
+        (3, "Permission is hereby granted, free of cost, to any person obtaining a copy of this software"),
+        (4, "copyright (c) 2020 some body. All rights reserved; copyright a b c d e f g all rights reserved"),
+        (5, "gnu general public license cc by cc-by"),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(docs(rows)).collect()}
+    for i, body in rows:
+        ws = word.findall(body.lower())
+        at = [k for k in range(len(ws)) for p in licenses.PHRASES if ws[k : k + len(p.split())] == p.split()]
+        r = got[i]
+        assert (r.n_words, r.n_base) == (len(ws), len(at))
+        assert (r.first_word, r.last_word) == ((min(at), max(at)) if at else (None, None))
+    assert got[1].labels == "apache,apache-notice,mit" and got[5].base_labels == "cc-by,gpl"
+    assert "mit-text" in got[2].labels and got[3].labels == "" and got[4].labels == "copyright-notice"
+    assert len(licenses.scan(odd).collect()) == 9
+
+
+def test_toxicity_on_held_out_rows_and_odd_ones(spark, docs, odd):
+    draw = random.Random(6)
+    usual = [f"word{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(900):
+        bad = i % 4 == 0
+        body = [draw.choice(usual) for _ in range(60)]
+        for _ in range(3 if bad else 0):
+            body.insert(draw.randrange(60), draw.choice(["grr", "argh"]))
+        rows.append((i, " ".join(body)))
+        labels.append((i, 0, int(bad)))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    table = docs(rows)
+    model = toxicity.train(table, toxicity.teaching(marks))
+    got = {r.doc_id: r.score for r in toxicity.score(table, model).collect()}
+    held = [i for i in got if brute.fold(i, 3) == 1]
+    assert all((got[i] >= toxicity.LEVEL) == (i % 4 == 0) for i in held)
+    kept = toxicity.without_toxic(table, marks)
+    assert kept.columns == table.columns and abs(kept.count() - 675) < 5
+    assert all(0 <= r.score <= 1 for r in toxicity.score(odd.withColumn("score", F.lit(9)), model).collect())
+    none = toxicity.train(odd, marks.where("toxic = 0"))
+    assert all(r.score < 0.01 for r in toxicity.score(odd, none).collect())
+
+
+def test_search_takes_odd_vectors(spark):
+    rows = [(i, [float(i % 7), float(-i)]) for i in range(250)]
+    rows += [(None, [1.0, 1.0]), (300, None), (301, []), (302, [1.0, None]), (303, [float("nan"), 1.0]), (304, [1.0]),
+             (400, [float("inf"), 0.0]), (100, [float(100 % 7), -100.0])]
+    got = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    held = [(i, v) for i, v in rows if i is not None and i < 250]
+    for q in (0, 100, 200):
+        own = next(v for i, v in held if i == q)
+        best = sorted((-sum(int(1024 * a) * int(1024 * b) for a, b in zip(own, v)), i) for i, v in held if i != q)
+        want = [(-s, i) for s, i in best][:10]
+        assert [(r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
+    assert {r.query_id for r in got} == {0, 100, 200}
+
+
+def test_search_prunes_exactly_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SHARD", 64)
+    monkeypatch.setattr(topk_search, "LEAF", 8)
+    draw = np.random.default_rng(7)
+    rows = [(i, draw.normal(size=6).round(2).tolist()) for i in range(500)]
+    got = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    whole = np.floor(1024 * np.array([v for _, v in rows])).astype(np.int64)
+    for q in range(0, 500, 100):
+        score = whole @ whole[q]
+        want = [int(i) for i in np.lexsort((np.arange(500), -score)) if i != q][:10]
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
+
+
+def edited_copies(draw, groups, copies, edits, size=60):
+    rows = []
+    for _ in range(groups):
+        body = [f"v{draw.randrange(4000)}" for _ in range(size)]
+        for _ in range(copies):
+            other = list(body)
+            for _ in range(draw.randint(0, edits)):
+                other[draw.randrange(size)] = f"x{draw.randrange(10**6)}"
+            rows.append((len(rows), " ".join(other)))
+    return rows
+
+
+@pytest.mark.parametrize("groups,copies,edits,short", [(30, 4, 4, 64), (2, 60, 5, 64), (2, 60, 5, 8)])
+def test_near_duplicates_equal_plain_version(docs, monkeypatch, groups, copies, edits, short):
+    monkeypatch.setattr(ngram_join, "SHORT", short)
+    monkeypatch.setattr(ngram_join, "TOGETHER", 16)
+    rows = edited_copies(random.Random(8), groups, copies, edits)
+    sets, roots = brute.near(rows)
+    least = {}
+    for (i, _), root in zip(rows, roots):
+        least[root] = min(i, least.get(root, i))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(rows)).collect()}
+    assert got == {i: (len(s), least[root]) for (i, _), s, root in zip(rows, sets, roots)}
+
+
+def test_near_duplicates_take_odd_rows(odd):
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(odd).collect())
+    assert [x[:1] + x[2:] for x in got] == [(0, None), (1, 1), (2, 2), (3, 3), (4, 4), (4, 4), (5, 4), (6, 6), (7, 7)]
+    kept = ngram_join.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7]
+
+
+def test_mixing_does_not_depend_on_the_cluster(spark, odd):
+    mixed = [
+        sorted(map(repr, mixing.mix(odd.withColumn("target", F.lit(1))).collect()))
+        for n in ("4", "64")
+        for _ in [spark.conf.set("spark.sql.shuffle.partitions", n)]
+    ]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert mixed[0] == mixed[1] and len(mixed[0]) == 9
+    sizes = [("a", 100), ("b", 1), ("c", 100), (None, 10)]
+    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(sizes, "source string, source_size long")).collect()}
+    assert got == pytest.approx({"b": 3.0, None: 30.0, "a": 178 / 4, "c": 3 * 178 / 4})
+
+
+def test_empty_tables(spark, docs, tmp_path):
+    docs([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for name, query in QUERIES.items():
+        assert query(spark, str(tmp_path)).count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_equals_plain_stages(spark):
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "line dedup", "near duplicates", "mixing", "packing"]
+    docs = common.documents(spark, SF)
+    held = common.written(corpus_pipeline.STAGES[0][1](spark, docs, SF), "first")
+    rows = sorted((r.doc_id, r.text) for r in held.collect())
+    shorter = common.written(corpus_pipeline.STAGES[1][1](spark, held, SF), "second")
+    assert sorted((r.doc_id, r.text) for r in shorter.collect()) == [
+        (i, t) for (i, _), t in zip(rows, brute.dedup_lines(rows))
+    ]
+    rows = sorted((r.doc_id, r.text) for r in shorter.collect())
+    sets, roots = brute.near(rows)
+    least = {}
+    for (i, _), root, s in zip(rows, roots, sets):
+        least.setdefault(root if s else ("own", i), i)
+    unique = common.written(corpus_pipeline.STAGES[2][1](spark, shorter, SF), "third")
+    assert sorted(r.doc_id for r in unique.collect()) == sorted(least.values())
+    mixed = common.written(corpus_pipeline.STAGES[3][1](spark, unique, SF), "fourth")
+    copies = {r.doc_id: r.copies for r in mixing.mix(unique).collect()}
+    ids = [r.doc_id for r in mixed.collect()]
+    assert mixed.columns == docs.columns and all(ids.count(i) == n for i, n in copies.items())
+    whole_sequences(corpus_pipeline.STAGES[4][1](spark, mixed, SF).collect(), [(r.doc_id, r.text) for r in mixed.collect()])
