@@ -5,6 +5,8 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clickmill.schemas import MIN_EVENT_DATE, OTHER_DAY
+
 Dates = Column | str
 
 
@@ -98,5 +100,15 @@ def label(name: Column | str) -> Column:
     return F.initcap(F.replace(_col(name), F.lit("_"), F.lit(" ")))
 
 
+def checked_day(event_date: Dates, until: Column | str) -> Column:
+    """The day as a partition name if it lies between 2020 and `until`, else `other`.
+
+    Wrong dates share one partition instead of opening one each.
+    """
+    last = (F.lit(until) if isinstance(until, str) else until).cast("timestamp_ntz").cast("date")
+    known = _col(event_date).between(day(MIN_EVENT_DATE), last)
+    return F.when(known, _col(event_date).cast("string")).otherwise(OTHER_DAY)
+
+
 def day(value: date | str) -> Column:
     return F.lit(str(value)).cast("date")

@@ -8,6 +8,7 @@ from clickmill.schemas import BRONZE, BRONZE_ROWS, MONEY, NULL_TOKENS
 REQUIRED = ["event_id", "user_id", "event_type", "event_timestamp", "event_date"]
 REQUIRED_TEXT = ["event_id", "user_id", "event_type"]
 AMOUNTS = ["product_price", "revenue", "cashback_amount"]
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def normalize_nulls(df: DataFrame) -> DataFrame:
@@ -19,14 +20,9 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
 def coerce(df: DataFrame) -> DataFrame:
     """Unreadable or missing numbers become 0; unreadable times and dates become null."""
     have = set(df.columns)
-    typed = {
-        c: F.coalesce(F.col(c).try_cast(MONEY), F.lit(0).cast(MONEY))
-        for c in AMOUNTS
-        if c in have
-    }
+    typed = {c: F.coalesce(fitting(c), F.lit(0).cast(MONEY)) for c in AMOUNTS if c in have}
     if "quantity" in have:
-        whole = F.col("quantity").try_cast("decimal(20,0)").try_cast("int")
-        typed["quantity"] = F.coalesce(whole, F.lit(0))
+        typed["quantity"] = F.coalesce(fitting("quantity"), F.lit(0))
     if "event_timestamp" in have:
         typed["event_timestamp"] = F.col("event_timestamp").try_cast("timestamp_ntz")
     if "event_date" in have:
@@ -44,20 +40,38 @@ def add_lineage(df: DataFrame, ingested_at: Column | str, batch_id: str) -> Data
     )
 
 
-def reject_reason() -> Column:
-    """Comma-separated reasons, empty for an acceptable row."""
-    missing = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in REQUIRED]
-    blank = [F.when(~F.col(c).rlike(r"(?U)\S"), F.lit(f"blank_{c}")) for c in REQUIRED_TEXT]
-    return F.concat_ws(",", *missing, *blank)
+def fitting(name: str) -> Column:
+    """A number cell in its column's type; null if it is unreadable or does not fit."""
+    if name == "quantity":
+        return F.col(name).try_cast("decimal(20,0)").try_cast("int")
+    return F.col(name).try_cast(MONEY)
+
+
+def overflows() -> Column:
+    """A reason for each number that can be read but is too large for its column."""
+    return F.array(
+        *[
+            F.when(F.col(c).rlike(NUMBER) & fitting(c).isNull(), F.lit(f"overflow_{c}"))
+            for c in (*AMOUNTS, "quantity")
+        ]
+    )
+
+
+def problems() -> Column:
+    """All reasons against a typed row: required cells without a value, or with blanks only."""
+    no_value = [(F.col(c).isNull(), f"null_{c}") for c in REQUIRED]
+    only_blanks = [(~F.col(c).rlike(r"(?U)\S"), f"blank_{c}") for c in REQUIRED_TEXT]
+    return F.array(*[F.when(wrong, F.lit(reason)) for wrong, reason in no_value + only_blanks])
 
 
 def typed_rows(raw: DataFrame, ingested_at: Column | str, batch_id: str) -> DataFrame:
-    """Every raw row in the bronze schema, with the reasons to turn it away."""
+    """Every raw row in the bronze schema, with the reasons to turn it away (comma-separated)."""
     return (
         raw.transform(normalize_nulls)
+        .withColumn("too_large", overflows())
         .transform(coerce)
         .transform(add_lineage, ingested_at, batch_id)
-        .withColumn("reject_reason", reject_reason())
+        .withColumn("reject_reason", F.array_join(F.concat(problems(), "too_large"), ","))
         .select(BRONZE_ROWS.fieldNames())
     )
 

@@ -1,5 +1,8 @@
 """Daily key figures."""
 
+from collections.abc import Iterable, Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +63,25 @@ def daily_distincts(fact: DataFrame) -> DataFrame:
     )
 
 
-def daily_kpis(fact: DataFrame, since: str | None = None) -> DataFrame:
-    """One row per day with events, from `since` on if given.
+def weekly_reach(days: Iterable[date], step: int) -> list[date]:
+    """The days and the six after (`step` 1) or before (-1) each."""
+    return sorted({d + timedelta(days=step * k) for d in days for k in range(7)})
+
+
+def daily_kpis(
+    fact: DataFrame, since: str | None = None, days: Sequence[date] | None = None
+) -> DataFrame:
+    """One row per day with events, from `since` on or of `days` if given.
 
-    Weekly users look back over the whole fact, of which only six days before `since` can count.
+    Weekly users look back over the fact, of which only the six days before each one can count.
     """
-    recent = fact.where(F.col("event_date") >= C.day(since)) if since else fact
-    weekly = rolling_active_users(user_days(fact), since=since)
+    if days is not None:  # calendar days in a checked range
+        recent = fact.where(F.col("event_date").isin(list(days)))
+        near = fact.where(F.col("event_date").isin(weekly_reach(days, -1)))
+        weekly = rolling_active_users(user_days(near))
+    else:
+        recent = fact.where(F.col("event_date") >= C.day(since)) if since else fact
+        weekly = rolling_active_users(user_days(fact), since=since)
     revenue = F.col("daily_revenue")
     return (
         daily_sums(recent)

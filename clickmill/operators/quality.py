@@ -59,17 +59,20 @@ def _long(table: str, row: DataFrame) -> DataFrame:
 def check_table(table: str, df: DataFrame, rules: Rules) -> DataFrame:
     """Failures per constraint: null rows, rows outside the list, or values that occur repeatedly.
 
-    Null and list checks share one scan; each unique column is grouped on its own.
+    The null and list counts are taken along while the first unique column is grouped, so that one
+    scan serves them all; each further unique column is grouped on its own.
     """
     counts = [F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in rules.not_null] + [
         F.count_if(~F.col(c).isin(list(values))).alias(f"accepted_values:{c}")
         for c, values in rules.accepted.items()
     ]
-    frames = [_long(table, df.agg(*counts))] if counts else []
-    for c in rules.unique:
-        per_value = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        repeated = per_value.agg(F.count_if(F.col("n") > 1).alias(f"unique:{c}"))
-        frames.append(_long(table, repeated))
+    names = [f"not_null:{c}" for c in rules.not_null] + [f"accepted_values:{c}" for c in rules.accepted]
+    frames = [] if rules.unique or not counts else [_long(table, df.agg(*counts))]
+    for i, c in enumerate(rules.unique):
+        beside = names if i == 0 else []
+        per_value = df.groupBy(c).agg(F.count(c).alias("n"), *(counts if beside else []))
+        totals = [F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in beside]
+        frames.append(_long(table, per_value.agg(F.count_if(F.col("n") > 1).alias(f"unique:{c}"), *totals)))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)

@@ -1,5 +1,7 @@
 """Bronze to silver: de-duplication, validity flags, repairs, defaults."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,40 +24,35 @@ def dedup_events(df: DataFrame) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
-def _flagged(condition: Column, flag: str) -> Column:
-    flags = F.col("quality_flags")
-    return F.when(condition, F.concat_ws(",", F.nullif(flags, F.lit("")), F.lit(flag))).otherwise(flags)
+def null_flags() -> list[Column]:
+    """A flag for each critical column without a value."""
+    return [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in CRITICAL]
 
 
-def validate_not_null(df: DataFrame) -> DataFrame:
-    """Start `quality_flags` and `is_valid` from the critical columns."""
-    missing = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in CRITICAL]
-    flags = F.concat_ws(",", *missing)
-    return df.withColumns({"quality_flags": flags, "is_valid": flags == ""})
+def type_flag() -> Column:
+    """Unknown types; a null type has its own flag already."""
+    return F.when(~F.col("event_type").isin(EVENT_TYPES), "invalid_event_type")
 
 
-def validate_event_types(df: DataFrame) -> DataFrame:
-    """Unknown types are invalid; a null type stays without this flag."""
-    known = F.col("event_type").isin(EVENT_TYPES)
-    return df.withColumns(
-        {
-            "is_valid": F.coalesce(known, F.lit(False)) & F.col("is_valid"),
-            "quality_flags": _flagged(~known, "invalid_event_type"),
-        }
+def time_flag(now: str) -> Column:
+    """Times after `now` or before 2020; with a time in that range, days outside of it.
+
+    A day that differs from the time's own is left alone, as sources may write local days.
+    """
+    at, on = F.col("event_timestamp"), F.col("event_date")
+    latest, earliest = F.lit(now).cast("timestamp_ntz"), F.lit(MIN_EVENT_DATE).cast("timestamp_ntz")
+    return (
+        F.when(at > latest, "future_timestamp")
+        .when(at < earliest, "ancient_timestamp")
+        .when(~on.between(earliest.cast("date"), latest.cast("date")), "invalid_event_date")
     )
 
 
-def validate_timestamps(df: DataFrame, now: str) -> DataFrame:
-    """Times after `now` or before 2020 are invalid."""
-    at = F.col("event_timestamp")
-    future = at > F.lit(now).cast("timestamp_ntz")
-    ancient = at < F.lit(MIN_EVENT_DATE).cast("timestamp_ntz")
-    flags = F.when(future, "future_timestamp").when(ancient, "ancient_timestamp")
+def flag_rows(df: DataFrame, now: str) -> DataFrame:
+    """`quality_flags`, all reasons against a row, and `is_valid` where there are none."""
+    reasons = F.array_compact(F.array(*null_flags(), type_flag(), time_flag(now)))
     return df.withColumns(
-        {
-            "is_valid": F.when(flags.isNotNull(), F.lit(False)).otherwise(F.col("is_valid")),
-            "quality_flags": F.concat_ws(",", F.nullif(F.col("quality_flags"), F.lit("")), flags),
-        }
+        {"quality_flags": F.array_join(reasons, ","), "is_valid": F.size(reasons) == 0}
     )
 
 
@@ -79,22 +76,20 @@ def add_derived(df: DataFrame, now: str) -> DataFrame:
     )
 
 
-def silver_columns(df: DataFrame) -> DataFrame:
-    """The silver columns in order; absent ones are left out."""
-    return df.select([c for c in SILVER.fieldNames() if c in df.columns])
+def silver_columns(df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """The silver columns in order, then `also`; absent ones are left out."""
+    return df.select([c for c in (*SILVER.fieldNames(), *also) if c in df.columns])
 
 
-def clean(bronze: DataFrame, now: str) -> DataFrame:
-    """All rows, valid or not, in the silver schema; lazy, with one shuffle."""
+def clean(bronze: DataFrame, now: str, also: Sequence[str] = ()) -> DataFrame:
+    """All rows, valid or not, in the silver schema and the columns `also`; lazy, with one shuffle."""
     return (
         bronze.transform(dedup_events)
-        .transform(validate_not_null)
-        .transform(validate_event_types)
-        .transform(validate_timestamps, now)
+        .transform(flag_rows, now)
         .transform(repair_prices)
         .transform(fill_defaults)
         .transform(add_derived, now)
-        .transform(silver_columns)
+        .transform(silver_columns, also)
     )
 
 

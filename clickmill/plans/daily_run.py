@@ -1,9 +1,13 @@
 """Raw files to published tables, layer by layer. Every step can be rerun for the same input."""
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickmill.functions.columns import checked_day
 from clickmill.functions.columns import day as date_literal
 from clickmill.operators import bronze, silver
 from clickmill.operators.activity import user_days
@@ -12,10 +16,37 @@ from clickmill.operators.funnel import funnel_analysis
 from clickmill.operators.quality import check_day, check_tables, enforce
 from clickmill.operators.retention import retention
 from clickmill.operators.users import dim_users
-from clickmill.plans.incremental import upsert_facts, update_daily_kpis
-from clickmill.schemas import BRONZE_ROWS, SILVER
+from clickmill.plans.incremental import replace_daily_kpis, replace_events
+from clickmill.schemas import BRONZE, BRONZE_FILES, BRONZE_TABLE, FACT, OTHER_DAY, SILVER, SILVER_TABLE
 from clickmill.sources.raw_files import is_header_mismatch, list_files, not_loaded, read_raw, read_raw_any
-from clickmill.sources.tables import read_table, write_days, write_table
+from clickmill.sources.tables import exists, read_table, replace_whole, write_days, write_table
+
+CARRIED = "load_id int"  # the last load of each complete run
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, without rows before its first write."""
+    table = read_table(spark, path, schema)
+    return spark.createDataFrame([], schema) if table is None else table
+
+
+# ---- bronze: one folder per load, and a ledger of the files in it ----
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """`source_path`, `load_id`: a load counts once its files stand here."""
+    return _read(spark, f"{root}/bronze_files", BRONZE_FILES)
+
+
+def last_load(spark: SparkSession, root: str) -> int:
+    return read_ledger(spark, root).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
+
+
+def _files(
+    spark: SparkSession, landing: str, root: str, day: str | None, force: bool, folders: str
+) -> DataFrame:
+    files = list_files(spark, landing, day, folders)
+    return files if force else not_loaded(files, read_ledger(spark, root))
 
 
 def ingest(
@@ -28,82 +59,165 @@ def ingest(
     force: bool = False,
     folders: str = "event_date",
 ) -> int:
-    """Load the files that bronze holds no rows of (or all, with `force`); returns the rows written.
+    """Load the files that the ledger lacks (or all, with `force`); returns the rows written.
 
     Accepted and rejected rows are told apart by `reject_reason`, so that each file is parsed once.
-    A batch is one partition: repeating a batch replaces it, and no wrong date in a file opens a
-    partition of its own. Within it files follow the event date, so that a day's rows are found by
-    the column statistics.
+    Every load has a folder of its own, whatever its batch id: it never touches the rows of other
+    files. It counts from the moment its files are in the ledger; a load that stopped before is
+    overwritten by the next. A file that is loaded again supersedes its former rows, and no others.
+    Within a load rows lie by checked day; wrong dates share one partition.
     """
-    table = f"{root}/bronze"
-    loaded = None if force else read_table(spark, table, BRONZE_ROWS)
-    todo = not_loaded(list_files(spark, landing, day, folders), loaded)
+    todo = _files(spark, landing, root, day, force, folders)
     paths = [r["path"] for r in todo.select("path").collect()]  # names of new files only
     if not paths:
         return 0
+    load_id = last_load(spark, root) + 1
+    names = todo.select("source_path", F.lit(load_id).alias("load_id"))
+    names = spark.createDataFrame(names.collect(), BRONZE_FILES)  # as listed now, not later
 
     def load(raw: DataFrame) -> int:
-        rows = bronze.typed_rows(raw, ingested_at, batch_id)
-        return write_days(rows, table, keys=("batch_id",), sort=("event_date",))
+        rows = bronze.typed_rows(raw, ingested_at, batch_id).withColumn(
+            "event_day", checked_day("event_date", F.col("ingested_at"))
+        )
+        return write_days(
+            rows, f"{root}/bronze/load_id={load_id}", keys=("event_day",), sort=("event_date",), replace="all"
+        )
 
     try:
-        return load(read_raw(spark, paths))
+        written = load(read_raw(spark, paths))
     except Exception as error:
         if not is_header_mismatch(error):
             raise
-        return load(read_raw_any(spark, paths))  # some file has other columns: look at each header
+        written = load(read_raw_any(spark, paths))  # some file has other columns: look at each header
+    names.repartition(1).write.mode("append").parquet(f"{root}/bronze_files")  # one file: all or none
+    return written
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, without rows before its first write."""
-    table = read_table(spark, path, schema)
-    return spark.createDataFrame([], schema) if table is None else table
+def _loaded_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all loads that count, superseded ones included."""
+    rows = _read(spark, f"{root}/bronze", BRONZE_TABLE)
+    return rows.where(F.col("load_id") <= last_load(spark, root))
+
+
+def read_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of each file's latest load, accepted or not, with `load_id` and `event_day`."""
+    rows, ledger = _loaded_rows(spark, root), read_ledger(spark, root)
+    latest = Window.partitionBy("source_path").orderBy(F.desc("load_id"))
+    former = ledger.withColumn("version", F.row_number().over(latest)).where("version > 1").drop("version")
+    if former.isEmpty():  # the rule: no file was loaded twice
+        return rows
+    return rows.join(former, ["source_path", "load_id"], "left_anti").select(rows.columns)
 
 
 def read_bronze(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
-    """Accepted rows, of one day if given (a filter pushed to the files)."""
-    rows = _read(spark, f"{root}/bronze", BRONZE_ROWS)
+    """Accepted rows, of one day if given: only that day's partitions and those of wrong dates."""
+    rows = read_rows(spark, root)
     if day:
-        rows = rows.where(F.col("event_date") == date_literal(day))
+        rows = rows.where(F.col("event_day").isin(day, OTHER_DAY) & (F.col("event_date") == date_literal(day)))
     return bronze.accepted(rows)
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    return bronze.rejected(_read(spark, f"{root}/bronze", BRONZE_ROWS))
+    return bronze.rejected(read_rows(spark, root))
+
+
+# ---- what a load changes, carried through the layers ----
+
+
+@dataclass(frozen=True)
+class Change:
+    """Loads not yet carried through: the event ids in them and the places of these ids' rows.
+
+    Without `ids` everything is new. `partitions` are silver's, `days` the fact's.
+    """
+
+    last: int
+    ids: DataFrame | None
+    partitions: list[str]
+    days: list[date] | None
 
 
-def build_silver(spark: SparkSession, root: str, now: str, day: str | None = None) -> int:
-    """Clean one day, or everything; returns the rows written. Invalid rows are kept and flagged."""
-    cleaned = silver.clean(read_bronze(spark, root, day), now)
-    return write_days(
-        cleaned, f"{root}/silver", sort=("is_valid", "user_id"), replace="partitions" if day else "all"
+def pending(spark: SparkSession, root: str, now: str) -> Change | None:
+    """The change that loads since the last complete run make; None without such loads.
+
+    An id's rows may lie on several days, in older loads too, so the places are looked up in all of
+    bronze, by its id and date columns alone. As superseded rows still lie there, they include every
+    day that a former run can have written a row of these ids to: a run that stopped half-way is
+    simply repeated. `now` must not go back between runs.
+    """
+    last = last_load(spark, root)
+    done = _read(spark, f"{root}/carried", CARRIED).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
+    if last == done:
+        return None
+    if done == 0 and not exists(spark, f"{root}/silver"):
+        return Change(last, None, [], None)
+    ledger, rows = read_ledger(spark, root), _loaded_rows(spark, root).where("reject_reason = ''")
+    files = ledger.where(F.col("load_id") > done).select("source_path").distinct()
+    loads = ledger.join(files, "source_path", "left_semi").select("load_id").distinct().collect()  # runs
+    touched = rows.where(F.col("load_id").isin([r[0] for r in loads])).join(files, "source_path", "left_semi")
+    write_table(touched.select("event_id").distinct(), f"{root}/changed_ids")
+    ids = spark.read.parquet(f"{root}/changed_ids")
+    in_range = checked_day("event_date", now) != OTHER_DAY
+    places = (
+        rows.select("event_id", "event_day", F.when(in_range, F.col("event_date")).alias("day"))
+        .join(ids, "event_id", "left_semi")
+        .select("event_day", "day")
+        .distinct()
+        .collect()  # calendar days since 2020, twice at most
     )
+    return Change(last, ids, sorted({p[0] for p in places}), sorted({p[1] for p in places if p[1]}))
+
+
+def clean_rows(spark: SparkSession, root: str, now: str, change: Change) -> DataFrame:
+    """The one row of each changed id, cleaned, chosen among all rows of that id on any day."""
+    rows = read_rows(spark, root).where("reject_reason = ''")
+    if change.ids is not None:
+        rows = rows.where(F.col("event_day").isin(change.partitions)).join(change.ids, "event_id", "left_semi")
+    rows = rows.select(*BRONZE.fieldNames(), "event_day")
+    return silver.clean(rows, now, also=["event_day"])
+
+
+def build_silver(spark: SparkSession, root: str, now: str, change: Change) -> None:
+    """Replace the rows of the changed ids, unique across days. Invalid rows are kept and flagged."""
+    replace_events(
+        clean_rows(spark, root, now, change), f"{root}/silver", change.ids, change.partitions,
+        sort=("is_valid", "user_id"), key="event_day",
+    )
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/silver", SILVER)
+    return _read(spark, f"{root}/silver", SILVER_TABLE).select(SILVER.fieldNames())
+
 
+def changed_silver(spark: SparkSession, root: str, change: Change) -> DataFrame:
+    rows = _read(spark, f"{root}/silver", SILVER_TABLE)
+    if change.ids is not None:
+        rows = rows.where(F.col("event_day").isin(change.partitions)).join(change.ids, "event_id", "left_semi")
+    return rows.select(SILVER.fieldNames())
 
-def build_marts(spark: SparkSession, root: str, as_of: str) -> None:
-    """Incremental fact and daily figures; full rebuild of the other tables from the written fact.
+
+def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> None:
+    """Fact and daily figures of the changed ids and days; full rebuild of the other tables.
 
     Nothing is built while there are no valid rows.
     """
     stg = stg_events(read_silver(spark, root))
-    if stg.isEmpty():
+    if not exists(spark, f"{root}/fact_events") and stg.isEmpty():
         return
-    upsert_facts(fact_events(stg), f"{root}/fact_events")
-    fact = spark.read.parquet(f"{root}/fact_events")
-    update_daily_kpis(fact, f"{root}/daily_kpis")
-    write_table(dim_users(stg, as_of), f"{root}/dim_users")
-    write_table(funnel_analysis(fact), f"{root}/funnel_analysis")
-    write_table(retention(user_days(fact)), f"{root}/retention")
+    changed = stg_events(changed_silver(spark, root, change))
+    replace_events(fact_events(changed), f"{root}/fact_events", change.ids, change.days or [])
+    fact = _read(spark, f"{root}/fact_events", FACT)
+    replace_daily_kpis(fact, f"{root}/daily_kpis", change.days)
+    replace_whole(dim_users(stg, as_of), f"{root}/dim_users")
+    replace_whole(funnel_analysis(fact), f"{root}/funnel_analysis")
+    replace_whole(retention(user_days(fact)), f"{root}/retention")
 
 
 def check(spark: SparkSession, root: str, day: str) -> DataFrame:
     """Daily check of silver (raises on failure), then all table constraints."""
-    valid = silver.valid(read_silver(spark, root))
-    enforce(check_day(valid, day))
+    cleaned = read_silver(spark, root)
+    enforce(check_day(cleaned, day))
+    valid = silver.valid(cleaned)
     names = ["fact_events", "dim_users", "daily_kpis", "funnel_analysis", "retention"]
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in names}
     return check_tables({"silver": valid, "stg_events": stg_events(valid), **tables})
@@ -117,9 +231,25 @@ def run(
     as_of: str,
     batch_id: str,
     day: str | None = None,
+    force: bool = False,
+    folders: str = "event_date",
 ) -> dict[str, int]:
-    """One run for one day or for everything that arrived; returns rows written per layer."""
-    counts = {"bronze": ingest(spark, landing, root, now, batch_id, day)}
-    counts["silver"] = build_silver(spark, root, now, day)
-    build_marts(spark, root, as_of)
+    """Load one day's files or all that arrived, and carry every change they make through all layers.
+
+    Returns the rows of the load (`bronze`), how many of them were `rejected`, the rows of the changed
+    ids in `silver`, and how many of those are `invalid`.
+    """
+    counts = {"bronze": ingest(spark, landing, root, now, batch_id, day, force, folders)}
+    counts |= {"rejected": 0, "silver": 0, "invalid": 0}
+    if counts["bronze"]:
+        newest = F.col("load_id") == last_load(spark, root)
+        counts["rejected"] = bronze.rejected(read_rows(spark, root).where(newest)).count()
+    change = pending(spark, root, now)
+    if change:
+        build_silver(spark, root, now, change)
+        kept = changed_silver(spark, root, change)
+        counts["silver"], counts["invalid"] = kept.agg(F.count(F.lit(1)), F.count_if(~F.col("is_valid"))).first()
+        build_marts(spark, root, as_of, change)
+        carried = spark.createDataFrame([(change.last,)], CARRIED)
+        carried.repartition(1).write.mode("append").parquet(f"{root}/carried")
     return counts

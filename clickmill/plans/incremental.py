@@ -1,12 +1,13 @@
 """Incremental rebuilds that can be rerun and resumed."""
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import day
-from clickmill.operators.kpis import daily_kpis
+from clickmill.operators.kpis import daily_kpis, weekly_reach
 from clickmill.schemas import LOOKBACK_DAYS, MIN_EVENT_DATE
 from clickmill.sources.tables import drop, finish_staged, read_table, stage, stage_whole, write_table
 
@@ -79,6 +80,46 @@ def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAY
     return since
 
 
+def replace_events(
+    rows: DataFrame,
+    path: str,
+    ids: DataFrame | None,
+    partitions: Sequence[date | str],
+    sort: Sequence[str] = FACT_SORT,
+    key: str = "event_date",
+) -> None:
+    """Put `rows`, all that is now known of the event ids `ids`, in the place of their old rows.
+
+    `partitions` are those that may hold old or new rows of these ids; no others are read or
+    written, and one that ends up empty is removed. Without `ids` the table is written anew.
+    """
+    spark = rows.sparkSession
+    finish_staged(spark, path)
+    target = read_table(spark, path)
+    if target is None or ids is None:
+        stage(rows, path, sort=sort, key=key)
+    elif partitions:
+        kept = target.where(F.col(key).isin(list(partitions))).join(ids, "event_id", "left_anti")
+        stage(kept.unionByName(rows), path, partitions, sort, key)
+    finish_staged(spark, path)
+
+
+def replace_daily_kpis(fact: DataFrame, path: str, days: Sequence[date] | None) -> None:
+    """Recompute the figures of changed days and of the six after each, whose weekly users they
+    enter; all figures without `days` or before the first write."""
+    spark = fact.sparkSession
+    finish_staged(spark, path)
+    target = read_table(spark, path)
+    if target is None or days is None:
+        figures = daily_kpis(fact)
+    else:
+        affected = weekly_reach(days, 1)
+        rest = target.where(~F.col("event_date").isin(affected))
+        figures = rest.unionByName(daily_kpis(fact, days=affected))
+    stage_whole(figures.repartition(1), path)
+    finish_staged(spark, path)
+
+
 def update_daily_kpis(fact: DataFrame, path: str, lookback_days: int = LOOKBACK_DAYS) -> str | None:
     """Recompute the days from the cutoff on and keep the others; returns the cutoff day.
 
@@ -98,6 +139,6 @@ def update_daily_kpis(fact: DataFrame, path: str, lookback_days: int = LOOKBACK_
             .where("_rank = 1")
             .drop("_new", "_rank")
         )
-    stage_whole(recent.coalesce(1), path)
+    stage_whole(recent.repartition(1), path)
     finish_staged(spark, path)
     return since

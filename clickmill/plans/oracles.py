@@ -106,7 +106,8 @@ bronze AS (
          concat_ws(',', CASE WHEN user_id IS NULL THEN 'null_user_id' END,
                    CASE WHEN event_type IS NULL THEN 'null_event_type' END,
                    CASE WHEN event_timestamp IS NULL THEN 'null_event_timestamp' END,
-                   CASE WHEN trim(user_id) = '' THEN 'blank_user_id' END) AS reason
+                   CASE WHEN trim(user_id) = '' THEN 'blank_user_id' END,
+                   CASE WHEN n % 127 = 0 AND n % 59 <> 0 THEN 'overflow_quantity' END) AS reason
   FROM texts)"""
 )
 BRONZE_OUT = RAW_COLUMNS.replace("product_price", "CAST(product_price AS DOUBLE) AS product_price").replace(
@@ -123,7 +124,9 @@ def _flags(source: str) -> str:
                       CASE WHEN event_timestamp IS NULL THEN 'null_event_timestamp' END,
                       CASE WHEN event_type NOT IN {TYPES} THEN 'invalid_event_type' END,
                       CASE WHEN event_timestamp > {NOW} THEN 'future_timestamp'
-                           WHEN event_timestamp < TIMESTAMP '2020-01-01' THEN 'ancient_timestamp' END
+                           WHEN event_timestamp < TIMESTAMP '2020-01-01' THEN 'ancient_timestamp'
+                           WHEN event_date NOT BETWEEN DATE '2020-01-01' AND CAST({NOW} AS DATE)
+                           THEN 'invalid_event_date' END
                      ) AS quality_flags
   FROM {source}"""
 
@@ -132,14 +135,14 @@ FLAGGED = DIRTY + f""",
 flagged AS ({_flags("dirty")})"""
 
 
-def _silver(where: str = "TRUE") -> str:
-    """Silver rows of the dirty events: one per id, flagged, repaired, with defaults."""
+def _silver(where: str = "TRUE", ctes: str = DIRTY, source: str = "dirty") -> str:
+    """Silver rows of the source: one per id, flagged, repaired, with defaults."""
     return (
-        DIRTY
+        ctes
         + f""",
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_timestamp NULLS FIRST) AS rn
-  FROM dirty WHERE {where}),
+  FROM {source} WHERE {where}),
 flagged AS ({_flags("ranked")} WHERE rn = 1),
 silver AS (
   SELECT event_id, user_id, event_type, event_timestamp, event_date,
@@ -369,6 +372,13 @@ _ALL_MARTS = (
     + _tail(RETENTION, FACT).replace("\nweekly AS", "\nweekly_cohorts AS").replace("FROM weekly)", "FROM weekly_cohorts)")
     + _tail(FLAGGED, CLEAN)
 )
+# What all deliveries together bring, some rows with a day far off.
+ARRIVED = BRONZE + """,
+arrived AS (
+  SELECT * REPLACE (CASE WHEN n % 113 = 0 THEN DATE '9999-12-31' ELSE event_date END AS event_date)
+  FROM bronze WHERE reason = '')"""
+ARRIVED_FACT = _silver(ctes=ARRIVED, source="arrived") + f""",
+fact AS ({_FACT} FROM silver WHERE is_valid)"""
 _TYPES = ("event_type", TYPES)
 _CONSTRAINTS = (
     _constraint("silver", "flagged", ["event_id"], ["event_id", "user_id", "event_type", "event_timestamp"], [_TYPES])
@@ -425,6 +435,8 @@ ORACLES = {
     "stg_events": _with(SILVER, f"SELECT {SILVER_OUT} FROM silver WHERE is_valid"),
     "fact_events": _with(SILVER, f"SELECT {FACT_OUT} FROM ({_FACT} FROM silver WHERE is_valid)"),
     "fact_incremental": _with(FACT, f"SELECT {FACT_OUT} FROM fact"),
+    "daily_run_by_day": _with(ARRIVED_FACT, f"SELECT {FACT_OUT} FROM fact"),
+    "daily_kpis_by_day": _with(ARRIVED_FACT + _tail(KPIS, FACT), f"SELECT {KPI_COLUMNS} FROM kpis"),
     "time_of_day_mix": _with(
         FACT,
         "SELECT time_of_day, is_weekend, count(*) AS events, count(*) FILTER (is_revenue_event) AS revenue_events"
@@ -438,6 +450,7 @@ ORACLES = {
     ),
     "daily_kpis": _with(KPIS, f"SELECT {KPI_COLUMNS} FROM kpis"),
     "daily_kpis_incremental": _with(KPIS, f"SELECT {KPI_COLUMNS} FROM kpis"),
+    "wau_approx": _with(KPIS, "SELECT event_date, wau, TRUE AS estimate_is_close FROM weekly"),
     "wau_rolling": _with(KPIS, "SELECT event_date, wau FROM weekly"),
     "funnel_analysis": _with(FUNNEL, "SELECT * FROM funnel"),
     "cohort_activity": _with(COHORTS, "SELECT * FROM activity"),

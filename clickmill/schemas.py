@@ -24,6 +24,7 @@ LIFECYCLE_STAGES = ["new", "active", "at_risk", "dormant"]
 DEVICES = ["mobile", "desktop", "tablet"]
 UNKNOWN = "unknown"
 MIN_EVENT_DATE = "2020-01-01"
+OTHER_DAY = "other"  # partition of rows whose date lies outside the accepted range
 LOOKBACK_DAYS = 3
 # Text cells a CSV reader following the pandas defaults takes as missing.
 NULL_TOKENS = [
@@ -58,9 +59,16 @@ BRONZE = _struct(
 BRONZE_ROWS = T.StructType(
     [*BRONZE.fields, T.StructField("source_path", _TEXT), T.StructField("reject_reason", _TEXT)]
 )
+# As it lies on disk: each load is a folder of its own, and within it rows lie by checked day.
+BRONZE_TABLE = T.StructType(
+    [*BRONZE_ROWS.fields, T.StructField("load_id", _INT), T.StructField("event_day", _TEXT)]
+)
+# One row per loaded file and load; its rows are what makes a load count.
+BRONZE_FILES = _struct([("source_path", _TEXT), ("load_id", _INT)])
 SILVER = _struct(
     _WITH_HOUR + [("is_valid", _FLAG), ("quality_flags", _TEXT), ("cleaned_at", _TIME)]
 )
+SILVER_TABLE = T.StructType([*SILVER.fields, T.StructField("event_day", _TEXT)])
 FACT = _struct(
     _WITH_HOUR
     + [

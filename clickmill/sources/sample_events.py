@@ -163,7 +163,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = dirty_events(spark, sf_dir)
     text = {c: F.col(c).cast("string") for c in dirty.columns if c not in ("n", "copy", "file_date")}
     text["product_price"] = F.when(_every(61), "abc").otherwise(text["product_price"])
-    text["quantity"] = F.when(_every(59), "").otherwise(text["quantity"])
+    text["quantity"] = F.when(_every(59), "").when(_every(127), "3000000000").otherwise(text["quantity"])
     text["event_timestamp"] = F.when(_every(53), "not-a-date").otherwise(text["event_timestamp"])
     text["user_id"] = F.when(_every(109), "  ").otherwise(text["user_id"])
     text["referrer"] = F.when(_every(47), "NA").otherwise(text["referrer"])

@@ -69,7 +69,14 @@ def write_days(
     after a lost executor may count twice.
     """
     written = Observation()
-    out = df.observe(written, F.count(F.lit(1)).alias("rows")).hint("rebalance", "event_date")
+    _write_days(df.observe(written, F.count(F.lit(1)).alias("rows")), path, keys, sort, replace)
+    return written.get["rows"]
+
+
+def _write_days(
+    df: DataFrame, path: str, keys: Sequence[str], sort: Sequence[str], replace: str
+) -> None:
+    out = df.hint("rebalance", *keys)
     if sort:
         out = out.sortWithinPartitions(*keys, *sort)
     (
@@ -78,7 +85,6 @@ def write_days(
         .partitionBy(*keys)
         .parquet(path)
     )
-    return written.get["rows"]
 
 
 def _staged(path: str) -> str:
@@ -86,20 +92,25 @@ def _staged(path: str) -> str:
 
 
 def stage(
-    df: DataFrame, path: str, touched: Sequence[date] = (), sort: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    touched: Sequence[date | str] = (),
+    sort: Sequence[str] = (),
+    key: str = "event_date",
 ) -> None:
     """Write new versions of days next to the table; `finish_staged` moves them in.
 
     A job must not overwrite what it reads. The staged write counts once it is complete, and a run
     that stopped in between is finished by the next one. `touched` lists the days to replace, for
-    those that end up without rows.
+    those that end up without rows. `key` is the partition column.
     """
     spark, folder = df.sparkSession, _staged(path)
     drop(spark, folder)
     if touched:
-        days = spark.createDataFrame([(str(d),) for d in touched], "day string")
-        write_table(days, f"{folder}/touched")
-    write_days(df, f"{folder}/rows", sort=sort, replace="all")
+        names = spark.createDataFrame([(f"{key}={d}",) for d in touched], "name string")
+        write_table(names, f"{folder}/touched")
+    _write_days(df, f"{folder}/rows", (key,), sort, "all")
+    _require_marker(spark, folder)
 
 
 def stage_whole(df: DataFrame, path: str) -> None:
@@ -107,6 +118,20 @@ def stage_whole(df: DataFrame, path: str) -> None:
     folder = _staged(path)
     drop(df.sparkSession, folder)
     write_table(df, f"{folder}/rows")
+    _require_marker(df.sparkSession, folder)
+
+
+def _require_marker(spark: SparkSession, folder: str) -> None:
+    """Without the marker of a complete write a staged table would be dropped unseen."""
+    if not exists(spark, f"{folder}/rows/_SUCCESS"):
+        raise OSError("staged writes need mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def replace_whole(df: DataFrame, path: str) -> None:
+    """Full rebuild that leaves the old table in place until the new one is complete."""
+    finish_staged(df.sparkSession, path)
+    stage_whole(df, path)
+    finish_staged(df.sparkSession, path)
 
 
 def finish_staged(spark: SparkSession, path: str) -> None:
@@ -120,7 +145,7 @@ def finish_staged(spark: SparkSession, path: str) -> None:
         staged = [name for name in children(spark, f"{folder}/rows") if "=" in name]
         if exists(spark, f"{folder}/touched"):
             touched = spark.read.parquet(f"{folder}/touched").collect()  # calendar days
-            for name in {f"event_date={row['day']}" for row in touched} - set(staged):
+            for name in {row["name"] for row in touched} - set(staged):
                 drop(spark, f"{path}/{name}")  # a day that lost all its rows
             drop(spark, f"{folder}/touched")
         for name in staged:

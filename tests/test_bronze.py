@@ -6,7 +6,7 @@ import pytest
 
 from clickmill.operators import bronze
 from clickmill.plans import daily_run
-from clickmill.schemas import BRONZE, BRONZE_ROWS, RAW
+from clickmill.schemas import BRONZE, RAW
 from clickmill.sources.raw_files import list_files, not_loaded, read_raw, read_raw_any
 from clickmill.sources.tables import jdbc_options
 from helpers import rows, write_csv
@@ -113,7 +113,7 @@ def test_listing_one_day_or_all(spark, tmp_path):
 
 
 def bronze_table(spark, folder):
-    return spark.read.schema(BRONZE_ROWS).parquet(f"{folder}/bronze")
+    return daily_run.read_rows(spark, folder)
 
 
 def test_ingest_is_incremental_and_repeatable(spark, tmp_path):

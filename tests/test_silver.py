@@ -54,7 +54,7 @@ def test_flags(spark):
             {"event_timestamp": datetime(2026, 2, 1, 0, 0, 1), "event_type": "swipe"},
         ],
     )
-    out = S.validate_timestamps(S.validate_event_types(S.validate_not_null(df)), NOW)
+    out = S.flag_rows(df, NOW)
     assert [(r.is_valid, r.quality_flags) for r in out.collect()] == [
         (False, "null_event_id"),
         (False, "null_user_id,invalid_event_type"),
