@@ -19,13 +19,15 @@ def safe_divide(
 ) -> Column:
     """`factor * numerator / denominator`, rounded half away from zero; 0 unless denominator > 0.
 
-    The ratio is taken on decimals, so halves round exactly, and published as a double.
+    The last digit comes from a whole-number division, so that nothing is rounded twice, and the
+    ratio is published as a double.
     """
-    top = _col(numerator).cast("decimal(28,6)") * F.lit(factor)
-    bottom = _col(denominator).cast("decimal(18,3)")
-    return (
-        F.when(bottom > 0, F.round(top / bottom, places)).otherwise(F.lit(0)).cast("double")
-    )
+    top = _col(numerator).cast("decimal(28,6)")
+    bottom = _col(denominator).cast("decimal(22,3)")
+    doubled = F.abs(top) * F.lit(2 * factor * 10**places)
+    digits = F.call_function("div", doubled + bottom, bottom * F.lit(2))
+    signed = F.when(top < 0, -digits).otherwise(digits)
+    return F.when(bottom > 0, signed.cast("double") / F.lit(10**places)).otherwise(F.lit(0.0))
 
 
 def percentage(part: Column | str, whole: Column | str, places: int = 2) -> Column:

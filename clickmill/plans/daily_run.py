@@ -213,6 +213,20 @@ def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> N
     replace_whole(retention(user_days(fact)), f"{root}/retention")
 
 
+MART_ORDER = {
+    "daily_kpis": ["event_date"],
+    "funnel_analysis": ["stage_order"],
+    "retention": ["cohort_week"],
+    "dim_users": [],
+}
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A published table in the order its reports show it."""
+    table = spark.read.parquet(f"{root}/{name}")
+    return table.orderBy(*MART_ORDER[name]) if MART_ORDER[name] else table
+
+
 def check(spark: SparkSession, root: str, day: str) -> DataFrame:
     """Daily check of silver (raises on failure), then all table constraints."""
     cleaned = read_silver(spark, root)

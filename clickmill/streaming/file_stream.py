@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickmill.functions.columns import checked_day
 from clickmill.operators.bronze import typed_rows
 from clickmill.schemas import LOOKBACK_DAYS, RAW
 from clickmill.sources.raw_files import CSV_OPTIONS, lineage_columns
@@ -47,10 +48,14 @@ def dedup_stream(rows: DataFrame, tolerance: str = f"{LOOKBACK_DAYS} days") -> D
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process everything that has arrived, append it by day, and stop."""
+    """Process everything that has arrived, append it by `event_day`, and stop.
+
+    Dates before 2020 or after the arrival share one partition: a wrong date opens none of its own.
+    """
     query = (
-        stream.writeStream.format("parquet")
-        .partitionBy("event_date")
+        stream.withColumn("event_day", checked_day("event_date", F.current_timestamp()))
+        .writeStream.format("parquet")
+        .partitionBy("event_day")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)

@@ -152,3 +152,16 @@ def test_jdbc_options():
     assert options["dbtable"] == "(SELECT * FROM bronze.raw_events WHERE event_date = DATE '2026-01-15') AS t"
     assert (options["numPartitions"], options["user"]) == ("4", "u")
     assert "partitionColumn" not in jdbc_options("jdbc:x", "t")
+
+
+def test_numbers_too_large_for_their_column_are_rejected(spark, tmp_path):
+    cells = [
+        dict(event_id="p", product_price="12345678901.50"), dict(event_id="q", quantity="3000000000"),
+        dict(event_id="r", revenue="-99999999999", cashback_amount="1e20"), dict(event_id="s", product_price="abc", quantity="9x"),
+        dict(event_id="t", revenue="9999999999.99"),
+    ]
+    write_csv(tmp_path / "a.csv", HEADER, [line(**c) for c in cells])
+    typed = bronze.typed_rows(read_raw(spark, str(tmp_path)), NOW, "b")
+    assert rows(typed, "event_id", "reject_reason") == [
+        ("p", "overflow_product_price"), ("q", "overflow_quantity"),
+        ("r", "overflow_revenue,overflow_cashback_amount"), ("s", ""), ("t", "")]

@@ -95,3 +95,12 @@ def test_lifecycle_stage(spark, age, idle, want):
 
 def test_label(spark):
     assert one(spark, C.label(F.lit("add_to_cart"))) == ("Add To Cart",)
+
+
+@pytest.mark.parametrize(
+    "num, den, want",
+    [(4999999999, 10**12, 0.0), (5000000000, 10**12, 0.01), (-4999999999, 10**12, 0.0), (-1, 200, -0.01),
+     (10**17, 10**16, 10.0), (1, 3, 0.33), (2, 3, 0.67)],
+)
+def test_ratios_are_rounded_once(spark, num, den, want):
+    assert one(spark, C.safe_divide(F.lit(num), F.lit(den))) == (want,)

@@ -114,6 +114,8 @@ def test_rows_of_other_days_late_days_and_wrong_dates(spark, tmp_path):
     assert kpis == [("2026-01-05", 2), ("2026-01-15", 1), ("2026-01-17", 1)]
     flags = daily_run.read_silver(spark, root).where("event_id = 'far'")
     assert rows(flags, "quality_flags") == [("invalid_event_date",)]
+    days = [str(r[0]) for r in daily_run.read_mart(spark, root, "daily_kpis").select("event_date").collect()]
+    assert days == ["2026-01-05", "2026-01-15", "2026-01-17"]
     checks = daily_run.check(spark, root, "2026-01-17")
     assert checks.where("NOT passed").count() == 0
 
