@@ -11,8 +11,9 @@ sampled rows that the counts did not see and weighed by the labels' shares, turn
 
 A word that the sample does not have is compared by its first `STEM` bytes, under models of their own.
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z as a-z. Labels are learned from at
-most `SAMPLE` rows per class, as many of either, and from texts of up to `LONGEST` characters among them, chosen by the hash
-of the id; every whole text is scored. The model is a table of the sample's words.
+most `SAMPLE` rows per class, chosen by the hash of the id, and from texts of up to `LONGEST` characters
+among them. The classes need not be of one size: each has its own counts, and the curve weighs its rows by
+the labels' shares. Every whole text is scored. The model is a table of the sample's words.
 
 Nulls: a null or empty text has the score of no evidence at all. Labels that are null, or not 0 or 1, teach
 nothing; several labels of one id are separate rows. Without rows of both classes every score is the
@@ -150,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     odds = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     if not min(shares.get(0, 0), shares.get(1, 0)):
         return Model(nothing, nothing, 0.0, odds)
-    held = _sampled(docs, labels, min(sample, shares[0], shares[1])).toArrow()
+    held = _sampled(docs, labels, sample).toArrow()
     toxic, part = (held.column(i).to_numpy() for i in range(2))
     seen = [[np.frombuffer(w.as_py(), np.uint64) for w in held.column(i)] for i in (2, 3)]
     counted = [
