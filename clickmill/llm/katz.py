@@ -15,7 +15,8 @@ All texts are counted and scored by joins, whatever the corpus's size:
 * all other pairs go once, compressed, to the bucket of their first word (pairs after a top word: of
   both), where the counts from training texts meet the occurrences of all texts,
 * buckets return sums per text, sums per history, and what needs another word's count: rare followers
-  and pairs never seen in training. These meet the words' table and the histories' table in joins.
+  and pairs never seen in training. These meet the words' table and the histories' table in joins; the
+  weights of the top words, at most TOP and the start's, go to every task instead.
 
 Nulls: a null text is empty and has one token, its end; a null id is carried and its fold is that of empty
 text. Rows are scored one by one, repeated ones alike. Texts of any length are read whole. Without
@@ -413,15 +414,18 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     for r, c in enumerate(names, 1):
         left = left + F.coalesce(F.col(c), F.lit(0)) * float(r * (1 - keep[r - 1]))
     back = F.log10(left) - F.log10(F.greatest(1 - F.coalesce("x", F.lit(0.0)), F.lit(float(words.unseen))))
-    weights = histories.select("v", back.alias("back"))
+    weights = written(histories.select("v", back.alias("back")), "weights")
     lost = found.where("kind = 3").select("row", "v", "w", "x")
     priced = lost.where("x IS NOT NULL").select("row", "v", "x").union(
         lost.where("x IS NULL").join(rare, "w", "left")
         .select("row", "v", F.log10(F.coalesce("p", F.lit(float(words.unseen)))))
     )
-    tail = priced.join(weights, "v", "left").groupBy("row").agg(
-        F.sum(F.col("x") + F.coalesce("back", F.lit(0.0))).alias("y")
+    # top histories have the most pairs, but are at most TOP and the start: their weights go to every task
+    is_top = F.coalesce(F.col("v").between(0, TOP - 1) | (F.col("v") == int(_START)), F.lit(False))
+    backed = priced.where(is_top).join(F.broadcast(weights.where(is_top)), "v", "left").unionByName(
+        priced.where(~is_top).join(weights.where(~is_top), "v", "left")
     )
+    tail = backed.groupBy("row").agg(F.sum(F.col("x") + F.coalesce("back", F.lit(0.0))).alias("y"))
     sums = found.where("kind = 0").select("row", "doc_id", "n", "known", "x", "y", *names).unionByName(
         tail, allowMissingColumns=True
     ).groupBy("row").agg(
