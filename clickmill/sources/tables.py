@@ -30,13 +30,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another."""
+    """Put a folder in the place of another.
+
+    The old one is set aside, under a name that readers skip, and deleted last: nothing is lost if the
+    job stops in between, and readers miss it for two renames only.
+    """
     old, fs = _hadoop_path(spark, source)
     new, _ = _hadoop_path(spark, target)
-    fs.delete(new, True)
+    aside, _ = _hadoop_path(spark, f"{new.getParent()}/.former-{new.getName()}")
     fs.mkdirs(new.getParent())
+    if fs.exists(new):
+        fs.delete(aside, True)
+        if not fs.rename(new, aside):
+            raise OSError(f"could not set {target} aside")
     if not fs.rename(old, new):
         raise OSError(f"could not move {source} to {target}")
+    fs.delete(aside, True)
 
 
 def read_table(

@@ -1,5 +1,6 @@
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 from clickmill.operators.kpis import daily_kpis
 from clickmill.plans import incremental as I
@@ -75,6 +76,17 @@ def test_a_run_stopped_after_staging_is_finished_by_the_next(spark, folder):
     assert table(spark, path).where("event_id = 'x'").count() == 1
 
 
+def test_a_run_stopped_between_two_renames_keeps_the_former_day(spark, folder):
+    path, day, place = f"{folder}/fact", "event_date=2026-01-20", Path(folder)
+    I.upsert_facts(events(spark), path)
+    tables.stage(facts(spark, [{"event_id": "x", "event_date": date(2026, 1, 20)}]), path)
+    (place / "fact" / day).rename(place / "fact" / f".former-{day}")  # set aside, and then stopped
+    assert table(spark, path).where("event_date = '2026-01-20'").count() == 0  # not read twice
+    tables.finish_staged(spark, path)
+    assert rows(table(spark, path).where("event_date = '2026-01-20'"), "event_id") == [("x",)]
+    assert not list((place / "fact").glob(".former-*")) and not (place / "fact__staged").exists()
+
+
 def test_a_run_stopped_while_staging_leaves_the_table(spark, folder):
     path = f"{folder}/fact"
     I.upsert_facts(events(spark), path)
