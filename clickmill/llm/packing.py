@@ -19,8 +19,10 @@ empty table gives an empty result. Further columns are not carried along and can
 """
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,34 +41,45 @@ def public_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """Strings that are one id wherever they stand in a text, from the json of the same vocabulary."""
+    found = json.loads(Path(vocabulary).with_suffix(".json").read_text("utf-8"))["added_tokens"]
+    for token in found:
+        if any(token[kind] for kind in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']!r} takes more than its own string")
+    return {token["content"]: token["id"] for token in found}
+
+
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes; strings of special tokens are ordinary text.
+    """Ids of a text as little-endian 32-bit bytes. A string of `added` is its one id and the text before
+    and after it is split apart from it; without `added`, such strings are ordinary text.
 
     The encoder works on ranks; tests hold its ids against those that the tokenizers library gives for the
     same vocabulary.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, added: dict[str, int] | None = None):
         import public_tokenizers
         import tiktoken
 
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding(
-            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {}
         )
 
     def whole(self, text: str) -> bytes:
-        ids = self.encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+        ids = self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
         return ids.astype("<u4").tobytes()
 
 
 def pieces(docs: DataFrame, vocabulary: str, width: int = 1024) -> DataFrame:
     """Each document cut into whole sequences and a remainder, with the ids' checksums."""
     end = b"\0\0\0\0"
+    added = added_tokens(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = Encoder(vocabulary, added)
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for key, doc_id, text in zip(*(batch.column(i) for i in range(3))):

@@ -160,6 +160,23 @@ def test_ids_are_those_of_the_tokenizers_library():
         assert encoder.whole(body) == np.array(other.encode(body, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_added_tokens_are_one_id_as_in_the_tokenizers_library(docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    vocabulary = packing.public_vocabulary()
+    encoder, draw = packing.Encoder(vocabulary, packing.added_tokens(vocabulary)), random.Random(9)
+    parts = ["a", "the", " ", "  ", "\n", "é", "1", "'s", "<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "漢字"]
+    bodies = ["a <|endoftext|> b"] + ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(1500)]
+    want = [np.array(other.encode(body, add_special_tokens=False).ids, "<u4").tobytes() for body in bodies]
+    assert [encoder.whole(body) for body in bodies] == want
+    assert want[0] == np.array([64, 220, 50256, 275], "<u4").tobytes()
+    rows = list(enumerate(bodies[:100]))
+    got = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in packing.pack(docs(rows), vocabulary).collect()}
+    assert got == {i: (zlib.crc32(ids + b"\0\0\0\0"), len(ids) // 4 + 1) for i, ids in enumerate(want[:100])}
+
+
 def test_patterns_cover_the_histogram_with_little_waste():
     draw = random.Random(4)
     for n in (0, 1, 40, 3000):
