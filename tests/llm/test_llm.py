@@ -227,6 +227,50 @@ def test_licenses_equal_plain_version(odd, docs):
     assert len(licenses.scan(odd).collect()) == 9
 
 
+def found_licenses(*bodies):
+    found = licenses.scan_texts(list(bodies), licenses.PHRASES, licenses.TEMPLATES, licenses.OPENINGS)
+    return [({*r[5].split(",")} - {*r[4].split(","), ""}, r[6]) for r in found]
+
+
+@pytest.mark.parametrize("label", ["mit-text", "bsd-text", "isc-text"])
+def test_license_texts_are_whole_and_unaltered(label):
+    body = brute.LICENSES[label].split()
+    holder = {i for i, w in enumerate(body) if w == "HOLDER"}
+    assert found_licenses(" ".join(body), "# x\n" + "\n * ".join(body)) == [({label}, 1.0)] * 2
+    for i in set(range(len(body))) - holder - brute.MAY_BE_LEFT_OUT[label]:
+        altered = [*body[:i], "altered", *body[i + 1 :]], [*body[:i], *body[i + 1 :]], body[:i]
+        for got, score in found_licenses(*map(" ".join, altered)):
+            assert got <= {label + "-opening"} and score == 0, (i, body[i])
+    tail = "provided that it is used for Good, not Evil."
+    for at in (len(body) // 2, len(body) - 20):
+        (got, score), = found_licenses(" ".join([*body[:at], tail, *body[at:]]))
+        assert got == {label + "-opening"} and score == 0
+
+
+def test_short_notices_are_not_found_in_those_of_other_licenses():
+    want = {
+        "Licensed under CC BY 4.0.": "cc-by-notice",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc-notice",
+        "licensed under the Creative Commons Attribution CC BY-NC 4.0": "cc-by-nc-notice",
+        "licensed under a Creative Commons Attribution-NonCommercial CC BY-NC-SA": "cc-by-nc-sa-notice",
+        "licensed under CC BY-ND-NC 1.0": "cc-by-nc-nd-notice",
+        "licensed under CC BY-SA": "cc-by-sa-notice",
+        "licensed under CC BY-ND": "cc-by-nd-notice",
+        "Licensed under the Apache License, Version 2.0.": "apache-notice",
+        "Licensed under the Apache License, Version 1.1": "apache-1-notice",
+        "Licensed under the Apache License v2.0 with LLVM Exceptions": "apache-exception-notice",
+        "Licensed under the Apache License, Version 2.0 with the Commons Clause": "commons-clause-notice",
+        "released under the MIT License with Commons Clause": "commons-clause-notice",
+        "Released under the MIT License.": "mit-notice",
+        "licensed under the GNU General Public License, version 3.": "gpl-notice",
+        "under the GNU General Public License, version 2, with the Classpath Exception": "gpl-exception-notice",
+        "under the terms of the GNU Lesser General Public License": "lgpl-notice",
+        "under the GNU Affero General Public License": "agpl-notice",
+    }
+    assert found_licenses(*want) == [({label}, 1.0) for label in want.values()]
+    assert found_licenses("licensed under the Creative Commons Attribution-NonCommercial CC BY") == [(set(), 0.6)]
+
+
 def test_toxicity_on_held_out_rows_and_odd_ones(spark, docs, odd):
     draw = random.Random(6)
     usual = [f"word{i}" for i in range(300)]
