@@ -4,16 +4,19 @@ Each class has discounted word counts (modified Kneser-Ney: one discount each fo
 more). What the discounts leave goes to a distribution that the classes share: continuation counts, the
 number of different words that a word follows, taken where both classes agree, the smaller of the two,
 and at least one. A rare expression that one class has by chance thus weighs little, one that it uses
-often weighs much. Ratios count as far as they exceed `MARGIN`: common words differ a little between any
-two samples, and that must not add up along a text. A text's score compares its log-likelihoods under both classes, divided by the root
-of its number of words, which keeps texts of all lengths on one scale; a logistic curve, fitted on
-sampled rows that the counts did not see and weighed by the labels' shares, turns it into 0 to 1.
+often weighs much. Ratios count as far as they exceed a margin: common words differ a little between any
+two samples, and that must not add up along a text. A text's score compares its log-likelihoods under both
+classes, divided by a power of its number of words, which keeps texts of all lengths on one scale; a logistic
+curve, fitted on sampled rows that the counts did not see and weighed by the labels' shares, turns it into 0
+to 1. Margin and power are those of `MARGINS` and `POWERS` that have the least loss where each third of the
+sampled rows is scored by the counts of the other two.
 
 A word that the sample does not have is compared by its first `STEM` bytes, under models of their own.
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z as a-z. Labels are learned from at
-most `SAMPLE` rows per class, chosen by the hash of the id, and from texts of up to `LONGEST` characters
-among them. The classes need not be of one size: each has its own counts, and the curve weighs its rows by
-the labels' shares. Every whole text is scored. The model is a table of the sample's words.
+most `SAMPLE` rows per class, chosen among the labelled rows by the hash of the id, then of the text, and read
+whole; rows that agree in id, text and label are learned from once. The classes need not be of one size: each
+has its own counts, and the curve weighs its rows by the labels' shares. Every whole text is scored. The model
+is a table of the sample's words.
 
 Nulls: a null or empty text has the score of no evidence at all. Labels that are null, or not 0 or 1, teach
 nothing; several labels of one id are separate rows. Without rows of both classes every score is the
@@ -32,22 +35,24 @@ from clickmill.llm.common import documents, fold, schema_of
 from clickmill.llm.text import hashed_words, mix, row_of
 
 SAMPLE = 4000
-LONGEST = 20_000
 LEVEL = 0.7
-MARGIN = 3.0  # a word says nothing unless one class uses it more than e**MARGIN times as much
-POWER = 0.5
+MARGINS = (0.0, 1.0, 2.0, 3.0, 4.0)  # a word says nothing unless one class uses it more than e**margin times as much
+POWERS = (0.5, 0.0, 1.0)
+THIRDS = 3
 STEM = 4
 _NEXT = np.uint64(0x9FB21C651E98DF25)
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """`toxic`, `words`, `stems` of the sampled rows; at most `2 * sample` ids are sent to every task."""
+    """`toxic`, `part`, `words`, `stems` of the sampled rows; at most `2 * sample` keys are sent to every task."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("key"))
+    keys = texts.select("doc_id", "key").join(known, "doc_id").distinct()
     chosen = [
-        known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)
+        keys.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(sample) for c in (0, 1)
     ]
     ids = F.broadcast(chosen[0].union(chosen[1]))
-    rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text").join(ids, "doc_id")
+    rows = texts.join(ids, ["doc_id", "key"]).groupBy("doc_id", "key", "toxic").agg(F.first("text").alias("text"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,7 +71,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
                 [batch.column(1), batch.column(2), *held], ["toxic", "part", "words", "stems"]
             )
 
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)).cast("int").alias("part")
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(THIRDS)).cast("int").alias("part")
     return rows.select("text", F.col("toxic").cast("int"), part).mapInArrow(
         words, "toxic int, part int, words binary, stems binary"
     )
@@ -99,11 +104,11 @@ def kneser_ney(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, f
         spare = off.sum() / total
         logs.append(np.log((count - off) / total + spare * shared))
         new.append(np.log(max(spare, 1e-9)))
-    return vocabulary, _beyond(logs[1] - logs[0]), float(_beyond(new[1] - new[0]))
+    return vocabulary, logs[1] - logs[0], float(new[1] - new[0])
 
 
-def _beyond(ratio):
-    return np.sign(ratio) * np.maximum(np.abs(ratio) - MARGIN, 0)
+def _beyond(ratio, margin: float):
+    return np.sign(ratio) * np.maximum(np.abs(ratio) - margin, 0)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 100) -> tuple[float, float]:
@@ -122,12 +127,14 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 100
 
 
 class Model:
-    """Ratios of words and stems, and the curve from evidence to score."""
+    """Ratios of words and stems, margin and power, and the curve from evidence to score."""
 
-    def __init__(self, words, stems, slope: float, offset: float):
+    def __init__(self, words, stems, slope: float, offset: float, margin: float = MARGINS[0], power: float = POWERS[0]):
         self.words, self.stems, self.slope, self.offset = words, stems, slope, offset
+        self.margin, self.power = margin, power
 
-    def evidence(self, hashes: np.ndarray, stems: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def ratios(self, hashes: np.ndarray, stems: np.ndarray) -> np.ndarray:
+        """Each word's ratio, without the margin."""
         ratio = np.empty(len(hashes))
         rest = np.ones(len(hashes), bool)
         for (known, ratios, new), seen in ((self.words, hashes), (self.stems, stems)):
@@ -135,13 +142,46 @@ class Model:
             found = known[at] == seen[rest] if len(known) else np.zeros(len(at), bool)
             ratio[rest] = np.where(found, ratios[at] if len(known) else 0.0, new)
             rest[rest] = ~found
+        return ratio
+
+    def summed(self, ratio: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         lengths = np.diff(bounds)
-        return np.bincount(row_of(bounds), ratio, len(lengths)) / np.maximum(lengths, 1) ** POWER
+        sums = np.bincount(row_of(bounds), _beyond(ratio, self.margin), len(lengths))
+        return sums / np.maximum(lengths, 1) ** self.power
+
+    def evidence(self, hashes: np.ndarray, stems: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        return self.summed(self.ratios(hashes, stems), bounds)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -30, 30)))
 
 
+def _joined(seen: list[list[np.ndarray]], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and stems of the rows one after the other, and the rows' bounds."""
+    bounds = np.concatenate([[0], np.cumsum([len(seen[0][i]) for i in rows])])
+    return *(np.concatenate([one[i] for i in rows]) for one in seen), bounds
+
+
+def _weights(y: np.ndarray, share: float) -> np.ndarray:
+    return np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
+
+
+def _chosen(folds: list[tuple[Model, np.ndarray, np.ndarray, np.ndarray]], share: float) -> tuple[float, float]:
+    """Margin and power with the least loss over folds (model, its ratios for unseen rows, bounds, labels)."""
+    losses = {}
+    for margin in MARGINS:
+        for power in POWERS:
+            total = 0.0
+            for model, ratio, bounds, y in folds:
+                model.margin, model.power = margin, power
+                x, weight = model.summed(ratio, bounds), _weights(y, share)
+                model.slope, model.offset = logistic(x, y, weight)
+                sure = np.where(y == 1, model.score(x), 1 - model.score(x))
+                total -= float(weight @ np.log(np.maximum(sure, 1e-12)))
+            losses[margin, power] = round(total, 9)
+    return min(losses, key=losses.get)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows given; two thirds of the sample are counted, one third calibrates."""
     shares = {r["toxic"]: r["count"] for r in labels.where("toxic IN (0, 1)").groupBy("toxic").count().collect()}
@@ -154,20 +194,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     held = _sampled(docs, labels, sample).toArrow()
     toxic, part = (held.column(i).to_numpy() for i in range(2))
     seen = [[np.frombuffer(w.as_py(), np.uint64) for w in held.column(i)] for i in (2, 3)]
-    counted = [
-        [[w for w, t, p in zip(one, toxic, part) if t == c and p > 0] for c in (0, 1)] for one in seen
-    ]
-    if not all(counted[0]):
+
+    def counted(third: int) -> Model | None:
+        """The model of all rows but this third's."""
+        texts = [
+            [[w for w, t, p in zip(one, toxic, part) if t == c and p != third] for c in (0, 1)] for one in seen
+        ]
+        return Model(*(kneser_ney(one) for one in texts), 1.0, 0.0) if all(texts[0]) else None
+
+    model = counted(0)
+    if model is None:
         return Model(nothing, nothing, 0.0, odds)
-    model = Model(*(kneser_ney(one) for one in counted), 1.0, 0.0)
+    folds = []
+    for third in range(THIRDS):
+        rest = np.flatnonzero(part == third)
+        if len(np.unique(toxic[rest])) == 2 and (other := counted(third) if third else model):
+            words, stems, bounds = _joined(seen, rest)
+            folds.append((other, other.ratios(words, stems), bounds, toxic[rest].astype(float)))
+    if folds:
+        model.margin, model.power = _chosen(folds, share)
     rest = np.flatnonzero(part == 0)
     if len(np.unique(toxic[rest])) < 2:
         rest = np.arange(len(toxic))
-    bounds = np.concatenate([[0], np.cumsum([len(seen[0][i]) for i in rest])])
-    x = model.evidence(*(np.concatenate([one[i] for i in rest]) for one in seen), bounds)
+    x = model.evidence(*_joined(seen, rest))
     y = toxic[rest].astype(float)
-    weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-    model.slope, model.offset = logistic(x, y, weight)
+    model.slope, model.offset = logistic(x, y, _weights(y, share))
     return model
 
 

@@ -295,6 +295,35 @@ def test_toxicity_on_held_out_rows_and_odd_ones(spark, docs, odd):
     assert all(r.score < 0.01 for r in toxicity.score(odd, none).collect())
 
 
+def test_toxicity_learns_from_long_texts_and_from_bounded_rows(spark, docs):
+    usual = " ".join(f"word{i}" for i in range(4000))
+    rows = [(i, f"{usual} {'grr' if i % 2 else 'hum'} {i}") for i in range(40)]
+    assert min(len(body) for _, body in rows) > 20_000
+    rows += [(1, f"copy {i} of an id") for i in range(50)] + [rows[3]] * 30
+    labels = [(i, i % 2) for i in range(40)] + [(i, 1) for i in range(100, 140)]  # no text for the last ones
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    sampled = toxicity._sampled(docs(rows), marks, 60).toArrow().column("toxic").to_pylist()
+    assert (sampled.count(0), sampled.count(1)) == (20, 60)  # 70 different rows are toxic
+    sampled = toxicity._sampled(docs(rows), marks, 100).toArrow().column("toxic").to_pylist()
+    assert (sampled.count(0), sampled.count(1)) == (20, 70)
+    model = toxicity.train(docs(rows[:40]), marks)
+    known = text.hashed_words(pa.array(["grr hum"]), True)
+    grr, hum = model.ratios(*(h for _, _, h in [*known, *text.hashed_words(pa.array(["grr hum"]), True, toxicity.STEM)]))
+    assert grr > 1 and hum < -1
+
+
+def test_toxicity_takes_margin_and_power_from_the_rows_it_learns_from():
+    draw = np.random.default_rng(10)
+    bounds, y = np.arange(0, 40_001, 100), np.arange(400) % 2.0
+    faint, strong = draw.normal(0, 1.5, 40_000), np.where(y == 1, 4.5, 0.0)
+    strong_only = faint.copy()
+    strong_only[bounds[:-1]] = strong
+    even = faint * 0.1 + np.repeat(y - 0.5, 100) * 0.1
+    model = lambda: toxicity.Model(None, None, 1.0, 0.0)
+    assert toxicity._chosen([(model(), strong_only, bounds, y)], 0.5)[0] >= 3
+    assert toxicity._chosen([(model(), even, bounds, y)], 0.5)[0] == 0
+
+
 def test_search_takes_odd_vectors(spark):
     rows = [(i, [float(i % 7), float(-i)]) for i in range(250)]
     rows += [(None, [1.0, 1.0]), (300, None), (301, []), (302, [1.0, None]), (303, [float("nan"), 1.0]), (304, [1.0]),
