@@ -1,6 +1,7 @@
 """The registered queries of this package, and their SQL where SQL can express them."""
 
 from clickmill.llm import (
+    filter_audit,
     fingerprints,
     katz,
     language,
@@ -9,6 +10,8 @@ from clickmill.llm import (
     mixing,
     ngram_join,
     packing,
+    prefix_trie,
+    sharding,
     topk_search,
     toxicity,
 )
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_mixing": mixing.op10_mixing,
+    "op11_sharding": sharding.op11_sharding,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 SQL = {
@@ -31,4 +37,6 @@ SQL = {
     "op8_topk_search": topk_search.OP8_SQL,
     "op9_ngram_join": ngram_join.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }
