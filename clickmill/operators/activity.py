@@ -37,10 +37,19 @@ def rolling_active_users(days: DataFrame, window: int = 7, since: str | None = N
 
 def rolling_active_users_approx(fact: DataFrame, window: int = 7) -> DataFrame:
     """Sketch form of `rolling_active_users`: one small sketch per day, merged over the window."""
-    daily = fact.groupBy("event_date").agg(F.hll_sketch_agg("user_id").alias("sketch"))
+    return weekly_estimates(daily_sketches(fact), window)
+
+
+def daily_sketches(fact: DataFrame) -> DataFrame:
+    """`event_date`, `sketch`: a mergeable sketch of the users of each day."""
+    return fact.groupBy("event_date").agg(F.hll_sketch_agg("user_id").alias("sketch"))
+
+
+def weekly_estimates(sketches: DataFrame, window: int = 7) -> DataFrame:
+    """`event_date`, `wau` by the days' sketches alone, which may be stored ones."""
     reach = F.sequence("event_date", F.date_add("event_date", window - 1))
     return (
-        daily.select("event_date", "sketch", F.explode(reach).alias("day"))
+        sketches.select("event_date", "sketch", F.explode(reach).alias("day"))
         .groupBy("day")
         .agg(
             F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("wau"),

@@ -16,9 +16,13 @@ def stage_counts(fact: DataFrame) -> DataFrame:
 
 def funnel_analysis(fact: DataFrame) -> DataFrame:
     """Always five rows. A stage counts a user who had the event at any time."""
+    return funnel_rates(stage_counts(fact.where(F.col("event_type").isin(FUNNEL_STAGES))))
+
+
+def funnel_rates(counts: DataFrame) -> DataFrame:
+    """The five stages with their rates, from users and events per type (at most five rows)."""
     rows = ", ".join(f"({i}, '{name}')" for i, name in enumerate(FUNNEL_STAGES, 1))
-    stages = fact.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(stage_order, stage_name)")
-    counts = stage_counts(fact.where(F.col("event_type").isin(FUNNEL_STAGES)))  # at most five rows
+    stages = counts.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(stage_order, stage_name)")
     users, order = F.col("unique_users"), Window.orderBy("stage_order")
     return (
         stages.join(F.broadcast(counts), F.col("stage_name") == F.col("event_type"), "left")

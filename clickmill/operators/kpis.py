@@ -82,18 +82,21 @@ def daily_kpis(
     else:
         recent = fact.where(F.col("event_date") >= C.day(since)) if since else fact
         weekly = rolling_active_users(user_days(fact), since=since)
-    revenue = F.col("daily_revenue")
-    return (
+    joined = (
         daily_sums(recent)
         .join(daily_distincts(recent), "event_date", "left")
         .join(weekly, "event_date", "left")
         .fillna(0)
-        .withColumns(
-            {
-                "conversion_rate": C.percentage("purchases", "page_views", places=4),
-                "avg_order_value": C.safe_divide(revenue, "purchases"),
-                "revenue_per_user": C.safe_divide(revenue, "dau"),
-            }
-        )
-        .select(DAILY_KPIS.fieldNames())
+    )
+    return kpi_ratios(joined).select(DAILY_KPIS.fieldNames())
+
+
+def kpi_ratios(daily: DataFrame) -> DataFrame:
+    """Conversion, order value and revenue per user from a day's counts and sums."""
+    return daily.withColumns(
+        {
+            "conversion_rate": C.percentage("purchases", "page_views", places=4),
+            "avg_order_value": C.safe_divide("daily_revenue", "purchases"),
+            "revenue_per_user": C.safe_divide("daily_revenue", "dau"),
+        }
     )

@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.functions import columns as C
@@ -57,26 +57,32 @@ def _mode(column: str):
 
 def user_modes(events: DataFrame) -> DataFrame:
     """Most common device, browser, country and city per user, by counting in the shuffle."""
-    return user_values(events, list(MODES.values())).groupBy("user_id").agg(
-        *[_mode(column).alias(name) for name, column in MODES.items()]
-    )
+    return user_values(events, list(MODES.values())).groupBy("user_id").agg(*user_modes_of())
+
+
+def user_modes_of() -> list[Column]:
+    """The aggregates over `facet`, `value`, `n` that give the most common values."""
+    return [_mode(column).alias(name) for name, column in MODES.items()]
 
 
 def user_profile(events: DataFrame) -> DataFrame:
     """Distinct counts and modes per user from one pass over the long form of seven columns."""
     return user_values(events, [*DISTINCTS.values(), *MODES.values()]).groupBy("user_id").agg(
         *[F.count_if(F.col("facet") == c).alias(name) for name, c in DISTINCTS.items()],
-        *[_mode(column).alias(name) for name, column in MODES.items()],
+        *user_modes_of(),
     )
 
 
 def dim_users(stg: DataFrame, as_of: date | str) -> DataFrame:
+    totals = user_sums(stg).join(user_profile(stg), "user_id", "left").fillna(0, list(DISTINCTS))
+    return with_ages(totals, as_of)
+
+
+def with_ages(totals: DataFrame, as_of: date | str) -> DataFrame:
+    """Ages, ratios, segment and stage of the users' totals, row by row."""
     today = C.day(as_of)
     return (
-        user_sums(stg)
-        .join(user_profile(stg), "user_id", "left")
-        .fillna(0, list(DISTINCTS))
-        .withColumns(
+        totals.withColumns(
             {
                 "account_age_days": C.days_between("first_seen_date", today),
                 "days_since_last_active": C.days_between("last_seen_date", today),

@@ -3,25 +3,26 @@
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill.functions.columns import checked_day
 from clickmill.functions.columns import day as date_literal
-from clickmill.operators import bronze, silver
-from clickmill.operators.activity import user_days
+from clickmill.operators import bronze, silver, user_parts
+from clickmill.operators.activity import daily_sketches, weekly_estimates
 from clickmill.operators.facts import fact_events, stg_events
-from clickmill.operators.funnel import funnel_analysis
 from clickmill.operators.quality import check_day, check_tables, enforce
 from clickmill.operators.retention import retention
-from clickmill.operators.users import dim_users
-from clickmill.plans.incremental import replace_daily_kpis, replace_events
+from clickmill.plans.incremental import replace_daily_kpis, replace_days, replace_events, replace_user_totals
 from clickmill.schemas import BRONZE, BRONZE_FILES, BRONZE_TABLE, FACT, OTHER_DAY, SILVER, SILVER_TABLE
+from clickmill.sources.event_index import append_places, places_of, read_places
 from clickmill.sources.raw_files import is_header_mismatch, list_files, not_loaded, read_raw, read_raw_any
-from clickmill.sources.tables import exists, read_table, replace_whole, write_days, write_table
+from clickmill.sources.tables import exists, observed, read_table, replace_whole, write_days, write_table
 
 CARRIED = "load_id int"  # the last load of each complete run
+DAY = T.StructField("event_day", T.StringType())
+WAITING = "event_id string, due timestamp_ntz"  # rows that are not valid before `due`
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -59,38 +60,64 @@ def ingest(
     force: bool = False,
     folders: str = "event_date",
 ) -> int:
-    """Load the files that the ledger lacks (or all, with `force`); returns the rows written.
+    """Load the files that the ledger lacks (or all, with `force`); returns the rows written."""
+    return load(spark, landing, root, ingested_at, batch_id, day, force, folders)[0]
+
+
+def load(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    ingested_at: str,
+    batch_id: str,
+    day: str | None = None,
+    force: bool = False,
+    folders: str = "event_date",
+) -> tuple[int, int]:
+    """The rows that `ingest` writes, and how many of them are turned away, both counted on the way.
 
     Accepted and rejected rows are told apart by `reject_reason`, so that each file is parsed once.
     Every load has a folder of its own, whatever its batch id: it never touches the rows of other
     files. It counts from the moment its files are in the ledger; a load that stopped before is
     overwritten by the next. A file that is loaded again supersedes its former rows, and no others.
-    Within a load rows lie by checked day; wrong dates share one partition.
+    Within a load rows lie by checked day; wrong dates share one partition. The places of the accepted
+    rows go into the event index before the load counts.
     """
     todo = _files(spark, landing, root, day, force, folders)
     paths = [r["path"] for r in todo.select("path").collect()]  # names of new files only
     if not paths:
-        return 0
+        return 0, 0
     load_id = last_load(spark, root) + 1
     names = todo.select("source_path", F.lit(load_id).alias("load_id"))
     names = spark.createDataFrame(names.collect(), BRONZE_FILES)  # as listed now, not later
 
-    def load(raw: DataFrame) -> int:
+    turned_away = F.count_if(F.col("reject_reason") != "").alias("rejected")
+
+    def put(raw: DataFrame) -> tuple[int, int]:
+        seen = Observation()
         rows = bronze.typed_rows(raw, ingested_at, batch_id).withColumn(
             "event_day", checked_day("event_date", F.col("ingested_at"))
         )
-        return write_days(
-            rows, f"{root}/bronze/load_id={load_id}", keys=("event_day",), sort=("event_date",), replace="all"
-        )
+        written = write_days(
+            rows.observe(seen, turned_away), f"{root}/bronze/load_id={load_id}", keys=("event_day",),
+            sort=("event_date",), replace="all",
+        )
+        return written, observed(seen, "rejected")["rejected"]
 
     try:
-        written = load(read_raw(spark, paths))
+        counts = put(read_raw(spark, paths))
     except Exception as error:
         if not is_header_mismatch(error):
             raise
-        written = load(read_raw_any(spark, paths))  # some file has other columns: look at each header
+        counts = put(read_raw_any(spark, paths))  # some file has other columns: look at each header
+    index = f"{root}/event_index"
+    if load_id == 1 or read_places(spark, index) is not None:
+        new = _read(spark, f"{root}/bronze/load_id={load_id}", T.StructType([*BRONZE_TABLE.fields[:-2], DAY]))
+        append_places(spark, index, new.where("reject_reason = ''"))
+    else:  # tables from before there was an index
+        append_places(spark, index, _read(spark, f"{root}/bronze", BRONZE_TABLE).where("reject_reason = ''"))
     names.repartition(1).write.mode("append").parquet(f"{root}/bronze_files")  # one file: all or none
-    return written
+    return counts
 
 
 def _loaded_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -138,16 +165,18 @@ class Change:
 
 
 def pending(spark: SparkSession, root: str, now: str) -> Change | None:
-    """The change that loads since the last complete run make; None without such loads.
+    """The change that loads since the last complete run make, and rows whose time has come since then;
+    None without either.
 
-    An id's rows may lie on several days, in older loads too, so the places are looked up in all of
-    bronze, by its id and date columns alone. As superseded rows still lie there, they include every
-    day that a former run can have written a row of these ids to: a run that stopped half-way is
-    simply repeated. `now` must not go back between runs.
+    An id's rows may lie on several days, in older loads too, so the places are looked up in the event
+    index. As it keeps the places of superseded rows, they include every day that a former run can have
+    written a row of these ids to: a run that stopped half-way is simply repeated. `now` must not go back
+    between runs.
     """
     last = last_load(spark, root)
     done = _read(spark, f"{root}/carried", CARRIED).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
-    if last == done:
+    due = read_waiting(spark, root).where(F.col("due") <= F.lit(now).cast("timestamp_ntz")).select("event_id")
+    if last == done and due.isEmpty():
         return None
     if done == 0 and not exists(spark, f"{root}/silver"):
         return Change(last, None, [], None)
@@ -155,34 +184,57 @@ def pending(spark: SparkSession, root: str, now: str) -> Change | None:
     files = ledger.where(F.col("load_id") > done).select("source_path").distinct()
     loads = ledger.join(files, "source_path", "left_semi").select("load_id").distinct().collect()  # runs
     touched = rows.where(F.col("load_id").isin([r[0] for r in loads])).join(files, "source_path", "left_semi")
-    write_table(touched.select("event_id").distinct(), f"{root}/changed_ids")
-    ids = spark.read.parquet(f"{root}/changed_ids")
+    write_table(touched.select("event_id").union(due).distinct(), f"{root}/changed_ids")
+    ids = spark.read.schema("event_id string").parquet(f"{root}/changed_ids")
     in_range = checked_day("event_date", now) != OTHER_DAY
     places = (
-        rows.select("event_id", "event_day", F.when(in_range, F.col("event_date")).alias("day"))
-        .join(ids, "event_id", "left_semi")
-        .select("event_day", "day")
+        places_of(spark, f"{root}/event_index", ids)
+        .select("event_day", F.when(in_range, F.col("event_date")).alias("day"))
         .distinct()
         .collect()  # calendar days since 2020, twice at most
     )
     return Change(last, ids, sorted({p[0] for p in places}), sorted({p[1] for p in places if p[1]}))
 
 
+def _rows_of(spark: SparkSession, rows: DataFrame, change: Change) -> DataFrame:
+    """Bronze or silver rows of the changed ids, from the partitions that hold any."""
+    if change.ids is None:
+        return rows
+    return rows.where(F.col("event_day").isin(change.partitions)).join(change.ids, "event_id", "left_semi")
+
+
 def clean_rows(spark: SparkSession, root: str, now: str, change: Change) -> DataFrame:
     """The one row of each changed id, cleaned, chosen among all rows of that id on any day."""
-    rows = read_rows(spark, root).where("reject_reason = ''")
-    if change.ids is not None:
-        rows = rows.where(F.col("event_day").isin(change.partitions)).join(change.ids, "event_id", "left_semi")
-    rows = rows.select(*BRONZE.fieldNames(), "event_day")
-    return silver.clean(rows, now, also=["event_day"])
+    rows = _rows_of(spark, read_rows(spark, root).where("reject_reason = ''"), change)
+    return silver.clean(rows.select(*BRONZE.fieldNames(), "event_day"), now, also=["event_day"])
 
 
-def build_silver(spark: SparkSession, root: str, now: str, change: Change) -> None:
-    """Replace the rows of the changed ids, unique across days. Invalid rows are kept and flagged."""
-    replace_events(
-        clean_rows(spark, root, now, change), f"{root}/silver", change.ids, change.partitions,
-        sort=("is_valid", "user_id"), key="event_day",
+def read_waiting(spark: SparkSession, root: str) -> DataFrame:
+    """Ids whose row lies after the last run's `now`, and when it is due."""
+    return _read(spark, f"{root}/waiting", T.StructType.fromDDL(WAITING))
+
+
+def build_silver(spark: SparkSession, root: str, now: str, change: Change) -> dict[str, int]:
+    """Replace the rows of the changed ids, unique across days. Invalid rows are kept and flagged.
+
+    A few changed rows are written once for all layers. Rows dated after `now` go onto a waiting list,
+    which every run checks against its own `now`. Returns the changed `rows` and how many are `invalid`.
+    """
+    rows = clean_rows(spark, root, now, change)
+    if change.ids is not None:
+        write_table(rows, f"{root}/changed_rows")
+        rows = spark.read.schema(SILVER_TABLE).parquet(f"{root}/changed_rows")
+    counts = replace_events(
+        rows, f"{root}/silver", change.ids, change.partitions, sort=("is_valid", "user_id"), key="event_day",
+        counts={"invalid": F.count_if(~F.col("is_valid"))},
     )
+    due = F.greatest("event_timestamp", F.col("event_date").cast("timestamp_ntz"))
+    later = changed_silver(spark, root, change).where(~F.col("is_valid")).select("event_id", due.alias("due"))
+    later = later.where(F.col("due") > F.lit(now).cast("timestamp_ntz"))
+    if change.ids is not None:
+        later = later.unionByName(read_waiting(spark, root).join(change.ids, "event_id", "left_anti"))
+    replace_whole(later, f"{root}/waiting")
+    return counts
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -190,27 +242,55 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame:
 
 
 def changed_silver(spark: SparkSession, root: str, change: Change) -> DataFrame:
-    rows = _read(spark, f"{root}/silver", SILVER_TABLE)
-    if change.ids is not None:
-        rows = rows.where(F.col("event_day").isin(change.partitions)).join(change.ids, "event_id", "left_semi")
-    return rows.select(SILVER.fieldNames())
+    if change.ids is None:
+        return read_silver(spark, root)
+    return _read(spark, f"{root}/changed_rows", SILVER_TABLE).select(SILVER.fieldNames())
+
+
+def changed_users(spark: SparkSession, root: str, change: Change) -> DataFrame | None:
+    """Users that any row of the changed ids ever named, so that one who lost a row is among them, too."""
+    if change.ids is None:
+        return None
+    rows = _rows_of(spark, _loaded_rows(spark, root).where("reject_reason = ''"), change)
+    write_table(rows.select("user_id").distinct(), f"{root}/changed_users")
+    return spark.read.schema("user_id string").parquet(f"{root}/changed_users")
 
 
 def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> None:
-    """Fact and daily figures of the changed ids and days; full rebuild of the other tables.
+    """Fact, user-days and daily figures of the changed ids and days, totals of the changed users; the other
+    tables are made of these.
 
     Nothing is built while there are no valid rows.
     """
-    stg = stg_events(read_silver(spark, root))
-    if not exists(spark, f"{root}/fact_events") and stg.isEmpty():
-        return
     changed = stg_events(changed_silver(spark, root, change))
-    replace_events(fact_events(changed), f"{root}/fact_events", change.ids, change.days or [])
+    first = not exists(spark, f"{root}/fact_events")
+    if first and stg_events(read_silver(spark, root)).isEmpty():
+        return
+    days = change.days
+    replace_events(fact_events(changed), f"{root}/fact_events", change.ids, days or [])
+    if not exists(spark, f"{root}/user_values"):  # tables from before there were parts
+        days = None
     fact = _read(spark, f"{root}/fact_events", FACT)
-    replace_daily_kpis(fact, f"{root}/daily_kpis", change.days)
-    replace_whole(dim_users(stg, as_of), f"{root}/dim_users")
-    replace_whole(funnel_analysis(fact), f"{root}/funnel_analysis")
-    replace_whole(retention(user_days(fact)), f"{root}/retention")
+    if days is not None:
+        fact = fact.where(F.col("event_date").isin(days))
+    replace_days(user_parts.user_days(fact), f"{root}/user_days", days)
+    replace_days(user_parts.user_values(fact), f"{root}/user_values", days)
+    replace_days(daily_sketches(fact), f"{root}/day_sketches", days, sort=())
+    by_day, values = (spark.read.parquet(f"{root}/{name}") for name in ("user_days", "user_values"))
+    replace_daily_kpis(
+        lambda only: user_parts.daily_kpis(by_day, values, only), spark, f"{root}/daily_kpis", days
+    )
+    users = changed_users(spark, root, change) if days is not None else None
+    replace_user_totals(by_day, values, f"{root}/user_totals", users)
+    totals = spark.read.parquet(f"{root}/user_totals")
+    replace_whole(user_parts.dim_users(totals, as_of), f"{root}/dim_users")
+    replace_whole(user_parts.funnel_analysis(totals), f"{root}/funnel_analysis")
+    replace_whole(retention(by_day.select("user_id", "event_date")), f"{root}/retention")
+
+
+def read_weekly_estimates(spark: SparkSession, root: str) -> DataFrame:
+    """Weekly users of each day within the sketches' tolerance, from one stored sketch a day."""
+    return weekly_estimates(spark.read.parquet(f"{root}/day_sketches"))
 
 
 MART_ORDER = {
@@ -253,16 +333,12 @@ def run(
     Returns the rows of the load (`bronze`), how many of them were `rejected`, the rows of the changed
     ids in `silver`, and how many of those are `invalid`.
     """
-    counts = {"bronze": ingest(spark, landing, root, now, batch_id, day, force, folders)}
-    counts |= {"rejected": 0, "silver": 0, "invalid": 0}
-    if counts["bronze"]:
-        newest = F.col("load_id") == last_load(spark, root)
-        counts["rejected"] = bronze.rejected(read_rows(spark, root).where(newest)).count()
+    written, rejected = load(spark, landing, root, now, batch_id, day, force, folders)
+    counts = {"bronze": written, "rejected": rejected, "silver": 0, "invalid": 0}
     change = pending(spark, root, now)
     if change:
-        build_silver(spark, root, now, change)
-        kept = changed_silver(spark, root, change)
-        counts["silver"], counts["invalid"] = kept.agg(F.count(F.lit(1)), F.count_if(~F.col("is_valid"))).first()
+        found = build_silver(spark, root, now, change)
+        counts |= {"silver": found["rows"], "invalid": found["invalid"]}
         build_marts(spark, root, as_of, change)
         carried = spark.createDataFrame([(change.last,)], CARRIED)
         carried.repartition(1).write.mode("append").parquet(f"{root}/carried")

@@ -1,15 +1,19 @@
 """Incremental rebuilds that can be rerun and resumed."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions.columns import day
 from clickmill.operators.kpis import daily_kpis, weekly_reach
+from clickmill.operators.quality import QualityError
+from clickmill.operators.user_parts import of_users, user_totals
 from clickmill.schemas import LOOKBACK_DAYS, MIN_EVENT_DATE
-from clickmill.sources.tables import drop, finish_staged, read_table, stage, stage_whole, write_table
+from clickmill.sources.tables import (
+    drop, drop_staged, exists, finish_staged, observed, read_table, stage, stage_whole, write_table,
+)
 
 FACT_SORT = ("user_id", "event_timestamp")
 
@@ -87,37 +91,84 @@ def replace_events(
     partitions: Sequence[date | str],
     sort: Sequence[str] = FACT_SORT,
     key: str = "event_date",
-) -> None:
+    counts: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
     """Put `rows`, all that is now known of the event ids `ids`, in the place of their old rows.
 
     `partitions` are those that may hold old or new rows of these ids; no others are read or
     written, and one that ends up empty is removed. Without `ids` the table is written anew.
+
+    Returns the number of `rows` and the aggregates `counts` over them, taken as they are written.
+    What is written is looked at before it counts: rows without an event id are refused with a
+    `QualityError`, and the table stays as it was.
     """
     spark = rows.sparkSession
     finish_staged(spark, path)
     target = read_table(spark, path)
+    seen = Observation()
+    taken = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("event_id").isNull()).alias("null_ids")]
+    new = rows.observe(seen, *taken, *(c.alias(name) for name, c in (counts or {}).items()))
     if target is None or ids is None:
-        stage(rows, path, sort=sort, key=key)
+        stage(new, path, sort=sort, key=key)
     elif partitions:
         kept = target.where(F.col(key).isin(list(partitions))).join(ids, "event_id", "left_anti")
-        stage(kept.unionByName(rows), path, partitions, sort, key)
+        stage(kept.unionByName(new), path, partitions, sort, key)
+    else:  # ids without a place, of rows that were all turned away
+        return {"rows": 0, **dict.fromkeys(counts or {}, 0)}
+    found = observed(seen, "rows", "null_ids", *(counts or {}))
+    if found.pop("null_ids"):
+        drop_staged(spark, path)
+        raise QualityError(f"rows without an event id for {path}")
     finish_staged(spark, path)
+    return found
 
 
-def replace_daily_kpis(fact: DataFrame, path: str, days: Sequence[date] | None) -> None:
-    """Recompute the figures of changed days and of the six after each, whose weekly users they
+def replace_days(
+    rows: DataFrame, path: str, days: Sequence[date] | None, sort: Sequence[str] = ("user_id",)
+) -> None:
+    """Put `rows` in the place of all rows of `days`; without `days` the table is written anew."""
+    spark = rows.sparkSession
+    finish_staged(spark, path)
+    if days is None or not exists(spark, path):
+        stage(rows, path, sort=sort)
+    elif days:
+        stage(rows, path, days, sort)
+    finish_staged(spark, path)
+
+
+def replace_daily_kpis(
+    figures: Callable[[list[date] | None], DataFrame], spark: SparkSession, path: str, days: Sequence[date] | None
+) -> None:
+    """Recompute the `figures` of changed days and of the six after each, whose weekly users they
     enter; all figures without `days` or before the first write."""
-    spark = fact.sparkSession
     finish_staged(spark, path)
     target = read_table(spark, path)
     if target is None or days is None:
-        figures = daily_kpis(fact)
+        out = figures(None)
     else:
         affected = weekly_reach(days, 1)
-        rest = target.where(~F.col("event_date").isin(affected))
-        figures = rest.unionByName(daily_kpis(fact, days=affected))
-    stage_whole(figures.repartition(1), path)
+        out = target.where(~F.col("event_date").isin(affected)).unionByName(figures(affected))
+    stage_whole(out.repartition(1), path)
+    finish_staged(spark, path)
+
+
+def replace_user_totals(days: DataFrame, values: DataFrame, path: str, users: DataFrame | None) -> None:
+    """Merge the totals of `users` anew from the parts of their days; the totals of others are carried over
+    as they stand. All are merged without `users` or before the first write."""
+    spark = days.sparkSession
     finish_staged(spark, path)
+    target = read_table(spark, path)
+    stage_whole(merged_totals(days, values, target, users), path)
+    finish_staged(spark, path)
+
+
+def merged_totals(
+    days: DataFrame, values: DataFrame, target: DataFrame | None, users: DataFrame | None
+) -> DataFrame:
+    if target is None or users is None:
+        return user_totals(days, values)
+    fresh = user_totals(of_users(days, users), of_users(values, users))
+    return target.join(users, "user_id", "left_anti").unionByName(fresh)
 
 
 def update_daily_kpis(fact: DataFrame, path: str, lookback_days: int = LOOKBACK_DAYS) -> str | None:

@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,12 @@ def _hadoop_path(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system and from its root."""
+    hadoop, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(hadoop).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop, fs = _hadoop_path(spark, path)
     return fs.exists(hadoop)
@@ -79,7 +86,16 @@ def write_days(
     """
     written = Observation()
     _write_days(df.observe(written, F.count(F.lit(1)).alias("rows")), path, keys, sort, replace)
-    return written.get["rows"]
+    return observed(written, "rows")["rows"]
+
+
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """The counts taken while rows were written; all 0 where adaptive execution found, at run time, that
+    there was no row to look at, and left the observing step out."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
 
 
 def _write_days(
@@ -143,6 +159,11 @@ def replace_whole(df: DataFrame, path: str) -> None:
     finish_staged(df.sparkSession, path)
 
 
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Give up a staged write; the table stays as it is."""
+    drop(spark, _staged(path))
+
+
 def finish_staged(spark: SparkSession, path: str) -> None:
     """Move a complete staged write, day by day or whole, into the table; nothing is written again.
 
