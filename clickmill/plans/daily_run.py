@@ -14,7 +14,9 @@ from clickmill.operators.activity import daily_sketches, weekly_estimates
 from clickmill.operators.facts import fact_events, stg_events
 from clickmill.operators.quality import check_day, check_tables, enforce
 from clickmill.operators.retention import retention
-from clickmill.plans.incremental import replace_daily_kpis, replace_days, replace_events, replace_user_totals
+from clickmill.plans.incremental import (
+    replace_daily, replace_daily_kpis, replace_days, replace_events, replace_user_totals,
+)
 from clickmill.schemas import BRONZE, BRONZE_FILES, BRONZE_TABLE, FACT, OTHER_DAY, SILVER, SILVER_TABLE
 from clickmill.sources.event_index import append_places, places_of, read_places
 from clickmill.sources.raw_files import is_header_mismatch, list_files, not_loaded, read_raw, read_raw_any
@@ -275,7 +277,7 @@ def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> N
         fact = fact.where(F.col("event_date").isin(days))
     replace_days(user_parts.user_days(fact), f"{root}/user_days", days)
     replace_days(user_parts.user_values(fact), f"{root}/user_values", days)
-    replace_days(daily_sketches(fact), f"{root}/day_sketches", days, sort=())
+    replace_daily(lambda only: daily_sketches(fact), spark, f"{root}/day_sketches", days)
     by_day, values = (spark.read.parquet(f"{root}/{name}") for name in ("user_days", "user_values"))
     replace_daily_kpis(
         lambda only: user_parts.daily_kpis(by_day, values, only), spark, f"{root}/daily_kpis", days

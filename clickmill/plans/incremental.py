@@ -123,35 +123,39 @@ def replace_events(
     return found
 
 
-def replace_days(
-    rows: DataFrame, path: str, days: Sequence[date] | None, sort: Sequence[str] = ("user_id",)
-) -> None:
+def replace_days(rows: DataFrame, path: str, days: Sequence[date] | None) -> None:
     """Put `rows` in the place of all rows of `days`; without `days` the table is written anew."""
     spark = rows.sparkSession
     finish_staged(spark, path)
     if days is None or not exists(spark, path):
-        stage(rows, path, sort=sort)
+        stage(rows, path, sort=("user_id",))
     elif days:
-        stage(rows, path, days, sort)
+        stage(rows, path, days, ("user_id",))
     finish_staged(spark, path)
 
 
-def replace_daily_kpis(
+def replace_daily(
     figures: Callable[[list[date] | None], DataFrame], spark: SparkSession, path: str, days: Sequence[date] | None
 ) -> None:
-    """Recompute the `figures` of changed days and of the six after each, whose weekly users they
-    enter; all figures without `days` or before the first write."""
+    """Recompute the `figures` of `days` in a table with one row per calendar day; all of them without
+    `days` or before the first write."""
     finish_staged(spark, path)
     target = read_table(spark, path)
     if target is None or days is None:
         out = figures(None)
     else:
-        affected = weekly_reach(days, 1)
-        out = target.where(~F.col("event_date").isin(affected)).unionByName(figures(affected))
+        out = target.where(~F.col("event_date").isin(list(days))).unionByName(figures(list(days)))
     stage_whole(out.repartition(1), path)
     finish_staged(spark, path)
 
 
+def replace_daily_kpis(
+    figures: Callable[[list[date] | None], DataFrame], spark: SparkSession, path: str, days: Sequence[date] | None
+) -> None:
+    """`replace_daily` for changed days and the six after each, whose weekly users they enter."""
+    replace_daily(figures, spark, path, days if days is None else weekly_reach(days, 1))
+
+
 def replace_user_totals(days: DataFrame, values: DataFrame, path: str, users: DataFrame | None) -> None:
     """Merge the totals of `users` anew from the parts of their days; the totals of others are carried over
     as they stand. All are merged without `users` or before the first write."""
