@@ -19,8 +19,10 @@ from clickmill.plans.incremental import (
 )
 from clickmill.schemas import BRONZE, BRONZE_FILES, BRONZE_TABLE, FACT, OTHER_DAY, SILVER, SILVER_TABLE
 from clickmill.sources.event_index import append_places, places_of, read_places
+from clickmill.sources.folders import exists
 from clickmill.sources.raw_files import is_header_mismatch, list_files, not_loaded, read_raw, read_raw_any
-from clickmill.sources.tables import exists, observed, read_table, replace_whole, write_days, write_table
+from clickmill.sources.tables import has_table, observed, read_table, replace_whole, write_days, write_table
+from clickmill.sources.versions import keep_versions
 
 CARRIED = "load_id int"  # the last load of each complete run
 DAY = T.StructField("event_day", T.StringType())
@@ -33,12 +35,17 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema) if table is None else table
 
 
+def _plain(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table that is only added to, and never kept in versions; without rows before its first write."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 # ---- bronze: one folder per load, and a ledger of the files in it ----
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     """`source_path`, `load_id`: a load counts once its files stand here."""
-    return _read(spark, f"{root}/bronze_files", BRONZE_FILES)
+    return _plain(spark, f"{root}/bronze_files", BRONZE_FILES)
 
 
 def last_load(spark: SparkSession, root: str) -> int:
@@ -114,17 +121,17 @@ def load(
         counts = put(read_raw_any(spark, paths))  # some file has other columns: look at each header
     index = f"{root}/event_index"
     if load_id == 1 or read_places(spark, index) is not None:
-        new = _read(spark, f"{root}/bronze/load_id={load_id}", T.StructType([*BRONZE_TABLE.fields[:-2], DAY]))
+        new = _plain(spark, f"{root}/bronze/load_id={load_id}", T.StructType([*BRONZE_TABLE.fields[:-2], DAY]))
         append_places(spark, index, new.where("reject_reason = ''"))
     else:  # tables from before there was an index
-        append_places(spark, index, _read(spark, f"{root}/bronze", BRONZE_TABLE).where("reject_reason = ''"))
+        append_places(spark, index, _plain(spark, f"{root}/bronze", BRONZE_TABLE).where("reject_reason = ''"))
     names.repartition(1).write.mode("append").parquet(f"{root}/bronze_files")  # one file: all or none
     return counts
 
 
 def _loaded_rows(spark: SparkSession, root: str) -> DataFrame:
     """The rows of all loads that count, superseded ones included."""
-    rows = _read(spark, f"{root}/bronze", BRONZE_TABLE)
+    rows = _plain(spark, f"{root}/bronze", BRONZE_TABLE)
     return rows.where(F.col("load_id") <= last_load(spark, root))
 
 
@@ -176,11 +183,11 @@ def pending(spark: SparkSession, root: str, now: str) -> Change | None:
     between runs.
     """
     last = last_load(spark, root)
-    done = _read(spark, f"{root}/carried", CARRIED).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
+    done = _plain(spark, f"{root}/carried", CARRIED).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
     due = read_waiting(spark, root).where(F.col("due") <= F.lit(now).cast("timestamp_ntz")).select("event_id")
     if last == done and due.isEmpty():
         return None
-    if done == 0 and not exists(spark, f"{root}/silver"):
+    if done == 0 and not has_table(spark, f"{root}/silver"):
         return Change(last, None, [], None)
     ledger, rows = read_ledger(spark, root), _loaded_rows(spark, root).where("reject_reason = ''")
     files = ledger.where(F.col("load_id") > done).select("source_path").distinct()
@@ -246,7 +253,7 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame:
 def changed_silver(spark: SparkSession, root: str, change: Change) -> DataFrame:
     if change.ids is None:
         return read_silver(spark, root)
-    return _read(spark, f"{root}/changed_rows", SILVER_TABLE).select(SILVER.fieldNames())
+    return _plain(spark, f"{root}/changed_rows", SILVER_TABLE).select(SILVER.fieldNames())
 
 
 def changed_users(spark: SparkSession, root: str, change: Change) -> DataFrame | None:
@@ -265,12 +272,11 @@ def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> N
     Nothing is built while there are no valid rows.
     """
     changed = stg_events(changed_silver(spark, root, change))
-    first = not exists(spark, f"{root}/fact_events")
-    if first and stg_events(read_silver(spark, root)).isEmpty():
+    if not has_table(spark, f"{root}/fact_events") and stg_events(read_silver(spark, root)).isEmpty():
         return
     days = change.days
     replace_events(fact_events(changed), f"{root}/fact_events", change.ids, days or [])
-    if not exists(spark, f"{root}/user_values"):  # tables from before there were parts
+    if not has_table(spark, f"{root}/user_values"):  # tables from before there were parts
         days = None
     fact = _read(spark, f"{root}/fact_events", FACT)
     if days is not None:
@@ -278,13 +284,13 @@ def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> N
     replace_days(user_parts.user_days(fact), f"{root}/user_days", days)
     replace_days(user_parts.user_values(fact), f"{root}/user_values", days)
     replace_daily(lambda only: daily_sketches(fact), spark, f"{root}/day_sketches", days)
-    by_day, values = (spark.read.parquet(f"{root}/{name}") for name in ("user_days", "user_values"))
+    by_day, values = (read_table(spark, f"{root}/{name}") for name in ("user_days", "user_values"))
     replace_daily_kpis(
         lambda only: user_parts.daily_kpis(by_day, values, only), spark, f"{root}/daily_kpis", days
     )
     users = changed_users(spark, root, change) if days is not None else None
     replace_user_totals(by_day, values, f"{root}/user_totals", users)
-    totals = spark.read.parquet(f"{root}/user_totals")
+    totals = read_table(spark, f"{root}/user_totals")
     replace_whole(user_parts.dim_users(totals, as_of), f"{root}/dim_users")
     replace_whole(user_parts.funnel_analysis(totals), f"{root}/funnel_analysis")
     replace_whole(retention(by_day.select("user_id", "event_date")), f"{root}/retention")
@@ -292,7 +298,7 @@ def build_marts(spark: SparkSession, root: str, as_of: str, change: Change) -> N
 
 def read_weekly_estimates(spark: SparkSession, root: str) -> DataFrame:
     """Weekly users of each day within the sketches' tolerance, from one stored sketch a day."""
-    return weekly_estimates(spark.read.parquet(f"{root}/day_sketches"))
+    return weekly_estimates(read_table(spark, f"{root}/day_sketches"))
 
 
 MART_ORDER = {
@@ -305,7 +311,7 @@ MART_ORDER = {
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A published table in the order its reports show it."""
-    table = spark.read.parquet(f"{root}/{name}")
+    table = read_table(spark, f"{root}/{name}")
     return table.orderBy(*MART_ORDER[name]) if MART_ORDER[name] else table
 
 
@@ -315,7 +321,7 @@ def check(spark: SparkSession, root: str, day: str) -> DataFrame:
     enforce(check_day(cleaned, day))
     valid = silver.valid(cleaned)
     names = ["fact_events", "dim_users", "daily_kpis", "funnel_analysis", "retention"]
-    tables = {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    tables = {name: read_table(spark, f"{root}/{name}") for name in names}
     return check_tables({"silver": valid, "stg_events": stg_events(valid), **tables})
 
 
@@ -329,12 +335,16 @@ def run(
     day: str | None = None,
     force: bool = False,
     folders: str = "event_date",
+    versioned: bool = False,
 ) -> dict[str, int]:
     """Load one day's files or all that arrived, and carry every change they make through all layers.
 
-    Returns the rows of the load (`bronze`), how many of them were `rejected`, the rows of the changed
+    With `versioned`, the first run decides that the tables of `root` are kept in versions; they are then
+    read by `read_table`, which gives readers one whole version at any time. Returns the rows of the load (`bronze`), how many of them were `rejected`, the rows of the changed
     ids in `silver`, and how many of those are `invalid`.
     """
+    if versioned and not exists(spark, f"{root}/bronze"):
+        keep_versions(spark, root)
     written, rejected = load(spark, landing, root, now, batch_id, day, force, folders)
     counts = {"bronze": written, "rejected": rejected, "silver": 0, "invalid": 0}
     change = pending(spark, root, now)

@@ -12,7 +12,7 @@ from clickmill.operators.quality import QualityError
 from clickmill.operators.user_parts import of_users, user_totals
 from clickmill.schemas import LOOKBACK_DAYS, MIN_EVENT_DATE
 from clickmill.sources.tables import (
-    drop, drop_staged, exists, finish_staged, observed, read_table, stage, stage_whole, write_table,
+    drop, drop_staged, finish_staged, has_table, observed, read_table, stage, stage_whole, write_table,
 )
 
 FACT_SORT = ("user_id", "event_timestamp")
@@ -127,7 +127,7 @@ def replace_days(rows: DataFrame, path: str, days: Sequence[date] | None) -> Non
     """Put `rows` in the place of all rows of `days`; without `days` the table is written anew."""
     spark = rows.sparkSession
     finish_staged(spark, path)
-    if days is None or not exists(spark, path):
+    if days is None or not has_table(spark, path):
         stage(rows, path, sort=("user_id",))
     elif days:
         stage(rows, path, days, ("user_id",))

@@ -8,7 +8,7 @@ from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmill.sources.tables import children, drop, exists, qualified
+from clickmill.sources.folders import children, drop, exists, qualified
 
 PLACES = ["event_id", "event_day", "event_date"]
 LEAST_BUCKETS = 16

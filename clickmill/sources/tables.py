@@ -1,4 +1,8 @@
-"""Parquet tables laid out by day, rewritten by whole partitions so that every run can be repeated."""
+"""Parquet tables laid out by day, rewritten by whole partitions so that every run can be repeated.
+
+Tables right under a folder with a `_versioned` mark are kept in versions (see `versions`): readers never
+meet a table half-way, and nothing is renamed. Others are one folder each, replaced by rename.
+"""
 
 from collections.abc import Sequence
 from datetime import date
@@ -9,31 +13,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _hadoop_path(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its file system and from its root."""
-    hadoop, fs = _hadoop_path(spark, path)
-    return fs.makeQualified(hadoop).toString()
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop, fs = _hadoop_path(spark, path)
-    return fs.exists(hadoop)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    hadoop, fs = _hadoop_path(spark, path)
-    fs.delete(hadoop, True)
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    hadoop, fs = _hadoop_path(spark, path)
-    return [status.getPath().getName() for status in fs.listStatus(hadoop)]
+from clickmill.sources.folders import (
+    children, drop, exists, hadoop_path, require_marker, write_partitions,
+)
+from clickmill.sources.versions import (
+    current, drop_version, is_versioned, publish_staged, read_version, stage_version,
+)
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
@@ -42,9 +27,9 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     The old one is set aside, under a name that readers skip, and deleted last: nothing is lost if the
     job stops in between, and readers miss it for two renames only.
     """
-    old, fs = _hadoop_path(spark, source)
-    new, _ = _hadoop_path(spark, target)
-    aside, _ = _hadoop_path(spark, f"{new.getParent()}/.former-{new.getName()}")
+    old, fs = hadoop_path(spark, source)
+    new, _ = hadoop_path(spark, target)
+    aside, _ = hadoop_path(spark, f"{new.getParent()}/.former-{new.getName()}")
     fs.mkdirs(new.getParent())
     if fs.exists(new):
         fs.delete(aside, True)
@@ -59,6 +44,8 @@ def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
     """The table, or None before its first write."""
+    if is_versioned(spark, path):
+        return read_version(spark, path, schema)
     if not exists(spark, path):
         return None
     if schema is not None:
@@ -71,6 +58,10 @@ def read_table(
         raise
 
 
+def has_table(spark: SparkSession, path: str) -> bool:
+    return current(spark, path) is not None if is_versioned(spark, path) else exists(spark, path)
+
+
 def write_days(
     df: DataFrame,
     path: str,
@@ -85,7 +76,7 @@ def write_days(
     after a lost executor may count twice.
     """
     written = Observation()
-    _write_days(df.observe(written, F.count(F.lit(1)).alias("rows")), path, keys, sort, replace)
+    write_partitions(df.observe(written, F.count(F.lit(1)).alias("rows")), path, keys, sort, replace)
     return observed(written, "rows")["rows"]
 
 
@@ -98,20 +89,6 @@ def observed(seen: Observation, *names: str) -> dict[str, int]:
         return dict.fromkeys(names, 0)
 
 
-def _write_days(
-    df: DataFrame, path: str, keys: Sequence[str], sort: Sequence[str], replace: str
-) -> None:
-    out = df.hint("rebalance", *keys)
-    if sort:
-        out = out.sortWithinPartitions(*keys, *sort)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-
-
 def _staged(path: str) -> str:
     return f"{path.rstrip('/')}__staged"
 
@@ -130,26 +107,26 @@ def stage(
     those that end up without rows. `key` is the partition column.
     """
     spark, folder = df.sparkSession, _staged(path)
+    if is_versioned(spark, path):
+        stage_version(df, path, [str(d) for d in touched], sort, key)
+        return
     drop(spark, folder)
     if touched:
         names = spark.createDataFrame([(f"{key}={d}",) for d in touched], "name string")
         write_table(names, f"{folder}/touched")
-    _write_days(df, f"{folder}/rows", (key,), sort, "all")
-    _require_marker(spark, folder)
+    write_partitions(df, f"{folder}/rows", (key,), sort, "all")
+    require_marker(spark, f"{folder}/rows")
 
 
 def stage_whole(df: DataFrame, path: str) -> None:
     """Write a new version of a small table, kept in one folder, next to the old one."""
     folder = _staged(path)
+    if is_versioned(df.sparkSession, path):
+        stage_version(df, path)
+        return
     drop(df.sparkSession, folder)
     write_table(df, f"{folder}/rows")
-    _require_marker(df.sparkSession, folder)
-
-
-def _require_marker(spark: SparkSession, folder: str) -> None:
-    """Without the marker of a complete write a staged table would be dropped unseen."""
-    if not exists(spark, f"{folder}/rows/_SUCCESS"):
-        raise OSError("staged writes need mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    require_marker(df.sparkSession, f"{folder}/rows")
 
 
 def replace_whole(df: DataFrame, path: str) -> None:
@@ -161,7 +138,7 @@ def replace_whole(df: DataFrame, path: str) -> None:
 
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Give up a staged write; the table stays as it is."""
-    drop(spark, _staged(path))
+    drop_version(spark, path) if is_versioned(spark, path) else drop(spark, _staged(path))
 
 
 def finish_staged(spark: SparkSession, path: str) -> None:
@@ -171,6 +148,9 @@ def finish_staged(spark: SparkSession, path: str) -> None:
     day is moved, and a day that is still staged was not moved yet.
     """
     folder = _staged(path)
+    if is_versioned(spark, path):
+        publish_staged(spark, path)
+        return
     if exists(spark, f"{folder}/rows/_SUCCESS"):
         staged = [name for name in children(spark, f"{folder}/rows") if "=" in name]
         if exists(spark, f"{folder}/touched"):
