@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> Iterator[None]:
+    """Within it, rows go to and from Python in batches of at most so many rows and bytes.
+
+    What a batch makes out of whole texts or sets is held several times over, on both sides; the default of
+    10,000 rows and 64 MB does not suit tasks that share 3 GB.
+    """
+    names = [f"spark.sql.execution.arrow.max{what}PerBatch" for what in ("Records", "Bytes")]
+    before = [spark.conf.get(name, None) for name in names]
+    for name, value in zip(names, (rows, size)):
+        spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and still there if an executor is lost."""
     spark = df.sparkSession

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import documents, written
+from clickmill.llm.common import documents, small_batches, written
 from clickmill.llm.components import components
 from clickmill.llm.text import hashed_words, mix
 
@@ -41,7 +41,8 @@ WINDOW = 2_000_000  # shingles that a task looks at together when it counts comm
 ORDERED = 400_000  # commonest shingles that are ordered by number; all others by hash alone
 SHORT = 64  # nodes in a list whose pairs are written out
 TOGETHER = 512  # nodes of a longer list that are compared at once with as many others
-SENT = 2_000_000  # signatures that may go to every task; more are joined by shuffle
+SENT = 2_000_000  # ids (8 bytes each) that may go to every task; more are joined by shuffle
+KEPT = 1 << 18  # signatures that a task remembers, so as not to write a set again; then it starts anew
 NO_ID = -(2**63)  # stands for a null id
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, N, np.uint64) | np.uint64(1)
 
@@ -128,6 +129,8 @@ def _prefixes(common: np.ndarray, numbers: np.ndarray, percent: int):
                 n = len(shingles)
                 if not n or (sig := signature(shingles)) in done:
                     continue
+                if len(done) >= KEPT:
+                    done.clear()
                 done.add(sig)
                 at = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
                 known = numbers[at] * (common[at] == shingles) if len(common) else np.zeros(n, np.int64)
@@ -249,21 +252,32 @@ def _pairs(percent: int):
 
 
 def _sets(wanted: np.ndarray | None):
-    """Sets of the documents in `wanted` (ids; None: of all), 48 bits of each shingle."""
+    """Sets of the documents in `wanted` (ids; None: of all), 48 bits of each shingle; repeated ones of a
+    task once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             if wanted is not None:
-                at = np.minimum(np.searchsorted(wanted, ids), len(wanted) - 1)
-                batch = batch.filter(pa.array(wanted[at] == ids))
+                at = np.minimum(np.searchsorted(wanted, ids), max(len(wanted) - 1, 0))
+                found = wanted[at] == ids if len(wanted) else np.zeros(len(ids), bool)
+                batch = batch.filter(pa.array(found))
                 if not batch.num_rows:
                     continue
-            sets = list(shingle_sets(batch.column(1)))
-            values = [signature(one) if len(one) else 0 for one in sets]
-            packed = [one.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for one in sets]
+            held, values, packed = [], [], []
+            for doc, one in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1))):
+                sig = signature(one) if len(one) else 0
+                if (doc, sig) in done:
+                    continue
+                if len(done) >= KEPT:
+                    done.clear()
+                done.add((doc, sig))
+                held.append(doc)
+                values.append(sig)
+                packed.append(one.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(signed(values)), pa.array(packed, pa.binary())],
+                [pa.array(held, pa.int64()), pa.array(signed(values)), pa.array(packed, pa.binary())],
                 ["id", "sig", "shingles"],
             )
 
@@ -348,15 +362,20 @@ class Holders:
         self.of = described.where("n > 0").groupBy("sig").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("id"))
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """`sig`, `shingles`: the whole sets of the nodes in `sig`, made from the texts once more."""
+        """`sig`, `shingles`: the whole sets of the nodes in `sig`, made from the texts once more. Every node
+        has one row, however often its id and text are repeated in the table."""
         wanted = written(self.of.join(nodes, "sig"), "wanted")
         columns = "id long, sig long, shingles binary"
-        if 0 < wanted.count() <= SENT:
+        n = wanted.count()
+        if n <= SENT:
             ids = np.sort(wanted.select("id").toArrow().column(0).to_numpy())
             found = self.texts.mapInArrow(_sets(ids), columns)
         else:
             found = self.texts.mapInArrow(_sets(None), columns).join(wanted, ["id", "sig"], "left_semi")
-        return written(found.select("sig", "shingles"), "shingles")
+        sets = written(found.select("sig", "shingles"), "shingles")
+        if sets.count() > n:  # repeated rows in several tasks
+            sets = written(sets.groupBy("sig").agg(F.first("shingles").alias("shingles")), "shingles")
+        return sets
 
 
 def _verified(pairs: DataFrame, holders: Holders, percent: int) -> DataFrame:
@@ -387,6 +406,11 @@ def _linked_in_long_lists(lists: DataFrame, holders: Holders, percent: int) -> D
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every row."""
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, percent)
+
+
+def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     described = written(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_describe, "doc_id long, n long, sig long"),
         "sets",
