@@ -437,6 +437,11 @@ ORACLES = {
     "fact_incremental": _with(FACT, f"SELECT {FACT_OUT} FROM fact"),
     "daily_run_by_day": _with(ARRIVED_FACT, f"SELECT {FACT_OUT} FROM fact"),
     "daily_kpis_by_day": _with(ARRIVED_FACT + _tail(KPIS, FACT), f"SELECT {KPI_COLUMNS} FROM kpis"),
+    "users_by_day": _with(ARRIVED_FACT + _tail(USERS, FACT), "SELECT * EXCLUDE (rev) FROM users"),
+    "weekly_estimates_by_day": _with(
+        ARRIVED_FACT + _tail(KPIS, FACT), "SELECT event_date, wau, TRUE AS estimate_is_close FROM weekly"
+    ),
+    "future_rows_by_run": _with(ARRIVED_FACT, f"SELECT {FACT_OUT} FROM fact"),
     "time_of_day_mix": _with(
         FACT,
         "SELECT time_of_day, is_weekend, count(*) AS events, count(*) FILTER (is_revenue_event) AS revenue_events"

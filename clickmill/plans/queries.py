@@ -21,6 +21,7 @@ NOW, AS_OF = sample.NOW, sample.AS_OF
 CHECK_DAY = "2024-02-15"  # the day of the single-day run and of the daily check
 CLOSE = 0.08  # of the exact count: five standard errors of a sketch with 4096 registers
 FIRST_DROP = "2024-02-20"  # last day of the first of two deliveries
+EARLY = "2024-02-10 00:00:00"  # the first of two runs over the same files
 REGISTRY: dict[str, Query] = {}
 
 
@@ -270,18 +271,25 @@ def daily_kpis_incremental(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _run_by_day(spark: SparkSession, sf_dir: str, folder: str) -> None:
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text in which some rows have a day far off."""
+    far = F.substring("event_id", 2, 20).cast("long") % 113 == 0
+    day = F.when(far, "9999-12-31").otherwise(F.col("event_date"))
+    return sample.raw_text(spark, sf_dir).withColumn("event_date", day)
+
+
+def _run_by_day(spark: SparkSession, sf_dir: str, folder: str, versioned: bool = False) -> None:
     """Two deliveries and runs. Folders hold rows of other days, some ids lie on two days, and some
     rows have a day far off; the second delivery also brings late rows to all the earlier days."""
-    text = sample.raw_text(spark, sf_dir)
-    far = F.substring("event_id", 2, 20).cast("long") % 113 == 0
+    text = _arriving(spark, sf_dir)
     late = F.crc32(F.concat_ws(" ", "event_id", "event_timestamp")) % 5 == 0
-    text = text.withColumn("event_date", F.when(far, "9999-12-31").otherwise(F.col("event_date")))
     first = (F.col("file_date") <= C.day(FIRST_DROP)) & ~late
     second = text.where(~first).withColumn("file_date", F.date_add("file_date", F.when(late, 1).otherwise(0)))
     for part in (text.where(first), second):
         _deliver(part, f"{folder}/landing")
-        daily_run.run(spark, f"{folder}/landing", f"{folder}/tables", NOW, AS_OF, "same", folders="delivered")
+        daily_run.run(
+            spark, f"{folder}/landing", f"{folder}/tables", NOW, AS_OF, "same", folders="delivered", versioned=versioned
+        )
 
 
 @query
@@ -299,6 +307,43 @@ def daily_kpis_by_day(spark, sf_dir):
     return spark.read.parquet(f"{folder}/tables/daily_kpis")
 
 
+@query
+def users_by_day(spark, sf_dir):
+    """The user dimension after two deliveries, of which the second merges the users it touches alone; from
+    tables in versions."""
+    folder = scratch_folder(spark, "users_by_day")
+    _run_by_day(spark, sf_dir, folder, versioned=True)
+    return daily_run.read_mart(spark, f"{folder}/tables", "dim_users")
+
+
+@query
+def weekly_estimates_by_day(spark, sf_dir):
+    """Weekly users after two deliveries from the stored user-days, and whether the stored sketches, one a
+    day, come within `CLOSE` of them."""
+    folder = scratch_folder(spark, "weekly_estimates_by_day")
+    _run_by_day(spark, sf_dir, folder)
+    tables = f"{folder}/tables"
+    exact = spark.read.parquet(f"{tables}/daily_kpis").select("event_date", "wau")
+    estimate = daily_run.read_weekly_estimates(spark, tables).withColumnRenamed("wau", "estimate")
+    close = F.abs(F.col("estimate") - F.col("wau")) <= CLOSE * F.col("wau")
+    return exact.join(estimate, "event_date", "left").select(
+        "event_date", "wau", F.coalesce(close, F.lit(False)).alias("estimate_is_close")
+    )
+
+
+@query
+def future_rows_by_run(spark, sf_dir):
+    """The fact after a run at an early `now`, which finds later rows not valid yet, and one without new
+    files at the usual `now`: the same as after one run then."""
+    folder = scratch_folder(spark, "future_rows_by_run")
+    _deliver(_arriving(spark, sf_dir), f"{folder}/landing")
+    for now in (EARLY, NOW):
+        daily_run.run(
+            spark, f"{folder}/landing", f"{folder}/tables", now, AS_OF, "same", folders="delivered"
+        )
+    return spark.read.parquet(f"{folder}/tables/fact_events").select(FACT.fieldNames())
+
+
 # ---- utilities ----
 
 
