@@ -8,6 +8,9 @@ from clickmill.schemas import BRONZE, BRONZE_ROWS, MONEY, NULL_TOKENS
 REQUIRED = ["event_id", "user_id", "event_type", "event_timestamp", "event_date"]
 REQUIRED_TEXT = ["event_id", "user_id", "event_type"]
 AMOUNTS = ["product_price", "revenue", "cashback_amount"]
+# How times and dates may be spelled beside ISO, in the order they are tried.
+DAY_FORMATS = ["yyyy/M/d", "d.M.yyyy", "M/d/yyyy", "d/M/yyyy"]
+TIME_OF_DAY = "[ H:mm[:ss[.SSSSSS]]]"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -24,12 +27,41 @@ def coerce(df: DataFrame) -> DataFrame:
     if "quantity" in have:
         typed["quantity"] = F.coalesce(fitting("quantity"), F.lit(0))
     if "event_timestamp" in have:
-        typed["event_timestamp"] = F.col("event_timestamp").try_cast("timestamp_ntz")
+        typed["event_timestamp"] = read_time("event_timestamp", "timestamp_ntz")
     if "event_date" in have:
-        typed["event_date"] = F.col("event_date").try_cast("date")
+        typed["event_date"] = read_time("event_date", "date")
     return df.withColumns(typed)
 
 
+def _spelled(name: str, day_format: str) -> Column:
+    return F.try_to_timestamp(F.col(name), F.lit(day_format + TIME_OF_DAY)).cast("timestamp_ntz")
+
+
+def ambiguous(name: str) -> Column:
+    """A cell that is one time with the month first and another with the day first."""
+    month_first, day_first = _spelled(name, "M/d/yyyy"), _spelled(name, "d/M/yyyy")
+    return F.coalesce(month_first != day_first, F.lit(False))
+
+
+def read_time(name: str, kind: str) -> Column:
+    """The cell as an ISO time or date, else by the first format that fits; null if none does or the cell is
+    ambiguous. The formats are only tried on cells that ISO cannot read."""
+    cell = F.col(name)
+    first = F.coalesce(*[_spelled(name, f) for f in DAY_FORMATS]).cast(kind)
+    iso = cell.try_cast(kind)
+    return F.when(iso.isNotNull() | cell.isNull(), iso).when(~ambiguous(name), first)
+
+
+def unclear_times() -> Column:
+    """A reason for each cell whose month and day cannot be told apart."""
+    return F.array(
+        *[
+            F.when(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull() & ambiguous(c), F.lit(f"ambiguous_{c}"))
+            for c, kind in (("event_timestamp", "timestamp_ntz"), ("event_date", "date"))
+        ]
+    )
+
+
 def add_lineage(df: DataFrame, ingested_at: Column | str, batch_id: str) -> DataFrame:
     """Load time and batch; the file names come with the raw rows."""
     return df.withColumns(
@@ -66,12 +98,13 @@ def problems() -> Column:
 
 def typed_rows(raw: DataFrame, ingested_at: Column | str, batch_id: str) -> DataFrame:
     """Every raw row in the bronze schema, with the reasons to turn it away (comma-separated)."""
+    fault = F.col("line_fault") if "line_fault" in raw.columns else F.lit(None).cast("string")
     return (
         raw.transform(normalize_nulls)
-        .withColumn("too_large", overflows())
+        .withColumn("seen_in_text", F.concat(overflows(), unclear_times(), F.array(fault)))
         .transform(coerce)
         .transform(add_lineage, ingested_at, batch_id)
-        .withColumn("reject_reason", F.array_join(F.concat(problems(), "too_large"), ","))
+        .withColumn("reject_reason", F.array_join(F.concat(problems(), "seen_in_text"), ","))
         .select(BRONZE_ROWS.fieldNames())
     )
 

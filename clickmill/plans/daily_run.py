@@ -20,7 +20,7 @@ from clickmill.plans.incremental import (
 from clickmill.schemas import BRONZE, BRONZE_FILES, BRONZE_TABLE, FACT, OTHER_DAY, SILVER, SILVER_TABLE
 from clickmill.sources.event_index import append_places, places_of, read_places
 from clickmill.sources.folders import exists
-from clickmill.sources.raw_files import is_header_mismatch, list_files, not_loaded, read_raw, read_raw_any
+from clickmill.sources.raw_files import is_header_mismatch, list_files, read_raw, read_raw_any
 from clickmill.sources.tables import has_table, observed, read_table, replace_whole, write_days, write_table
 from clickmill.sources.versions import keep_versions
 
@@ -52,13 +52,6 @@ def last_load(spark: SparkSession, root: str) -> int:
     return read_ledger(spark, root).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
 
 
-def _files(
-    spark: SparkSession, landing: str, root: str, day: str | None, force: bool, folders: str
-) -> DataFrame:
-    files = list_files(spark, landing, day, folders)
-    return files if force else not_loaded(files, read_ledger(spark, root))
-
-
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -82,6 +75,7 @@ def load(
     day: str | None = None,
     force: bool = False,
     folders: str = "event_date",
+    multi_line: bool = False,
 ) -> tuple[int, int]:
     """The rows that `ingest` writes, and how many of them are turned away, both counted on the way.
 
@@ -92,33 +86,54 @@ def load(
     Within a load rows lie by checked day; wrong dates share one partition. The places of the accepted
     rows go into the event index before the load counts.
     """
-    todo = _files(spark, landing, root, day, force, folders)
-    paths = [r["path"] for r in todo.select("path").collect()]  # names of new files only
-    if not paths:
+    found = list_files(spark, landing, day, folders).withColumn("is_new", F.lit(True))
+    if not force:
+        done = read_ledger(spark, root).select("source_path", F.lit(False).alias("is_new")).distinct()
+        found = found.drop("is_new").join(done, "source_path", "left").withColumn("is_new", F.col("is_new").isNull())
+    write_table(found.select("path", "source_path", "is_new"), f"{root}/listed_files")  # as listed now, not later
+    listed = spark.read.schema("path string, source_path string, is_new boolean").parquet(f"{root}/listed_files")
+    files, new = listed.agg(F.count(F.lit(1)), F.count_if("is_new")).first()
+    if not new:
         return 0, 0
+    todo = listed.where("is_new").select("path", "source_path")
     load_id = last_load(spark, root) + 1
     names = todo.select("source_path", F.lit(load_id).alias("load_id"))
-    names = spark.createDataFrame(names.collect(), BRONZE_FILES)  # as listed now, not later
+    every = new == files  # then the folders name them: no list of names passes through the driver
+    paths = [f"{landing.rstrip('/')}/{folders}={day or '*'}"] if every else [r["path"] for r in todo.select("path").collect()]
 
-    turned_away = F.count_if(F.col("reject_reason") != "").alias("rejected")
+    def only_listed(raw: DataFrame) -> DataFrame:
+        """Without files that arrived since the listing."""
+        return raw.join(todo.select("source_path"), "source_path", "left_semi") if every else raw
 
     def put(raw: DataFrame) -> tuple[int, int]:
-        seen = Observation()
-        rows = bronze.typed_rows(raw, ingested_at, batch_id).withColumn(
-            "event_day", checked_day("event_date", F.col("ingested_at"))
-        )
-        written = write_days(
-            rows.observe(seen, turned_away), f"{root}/bronze/load_id={load_id}", keys=("event_day",),
-            sort=("event_date",), replace="all",
-        )
-        return written, observed(seen, "rejected")["rejected"]
+        return write_load(only_listed(raw), root, load_id, ingested_at, batch_id)
 
     try:
-        counts = put(read_raw(spark, paths))
+        counts = put(read_raw(spark, paths, multi_line=multi_line))
     except Exception as error:
         if not is_header_mismatch(error):
             raise
-        counts = put(read_raw_any(spark, paths))  # some file has other columns: look at each header
+        counts = put(read_raw_any(spark, paths, multi_line))  # some file has other columns: look at each header
+    record_load(spark, root, load_id, names)
+    return counts
+
+
+def write_load(raw: DataFrame, root: str, load_id: int, ingested_at: str, batch_id: str) -> tuple[int, int]:
+    """The rows of one load in their folder; returns how many, and how many of them are turned away."""
+    seen = Observation()
+    rows = bronze.typed_rows(raw, ingested_at, batch_id).withColumn(
+        "event_day", checked_day("event_date", F.col("ingested_at"))
+    )
+    turned_away = F.count_if(F.col("reject_reason") != "").alias("rejected")
+    written = write_days(
+        rows.observe(seen, turned_away), f"{root}/bronze/load_id={load_id}", keys=("event_day",),
+        sort=("event_date",), replace="all",
+    )
+    return written, observed(seen, "rejected")["rejected"]
+
+
+def record_load(spark: SparkSession, root: str, load_id: int, names: DataFrame) -> None:
+    """Add the places of a written load to the event index, then its files to the ledger: now it counts."""
     index = f"{root}/event_index"
     if load_id == 1 or read_places(spark, index) is not None:
         new = _plain(spark, f"{root}/bronze/load_id={load_id}", T.StructType([*BRONZE_TABLE.fields[:-2], DAY]))
@@ -126,6 +141,23 @@ def load(
     else:  # tables from before there was an index
         append_places(spark, index, _plain(spark, f"{root}/bronze", BRONZE_TABLE).where("reject_reason = ''"))
     names.repartition(1).write.mode("append").parquet(f"{root}/bronze_files")  # one file: all or none
+
+
+def load_batch(
+    spark: SparkSession, raw: DataFrame, root: str, stream: str, batch: int, ingested_at: str
+) -> tuple[int, int]:
+    """One micro-batch of a stream as a load, once: the ledger keeps a line for it beside its files, in the
+    same write, so that a batch that the stream repeats is not loaded again."""
+    line = f"{stream}/batch {batch}"
+    ledger = read_ledger(spark, root)
+    if not ledger.where(F.col("source_path") == line).isEmpty():
+        return 0, 0
+    load_id = last_load(spark, root) + 1
+    counts = write_load(raw, root, load_id, ingested_at, line)
+    stored = _plain(spark, f"{root}/bronze/load_id={load_id}", T.StructType([*BRONZE_TABLE.fields[:-2], DAY]))
+    mark = spark.createDataFrame([(line, load_id)], BRONZE_FILES)
+    files = stored.select("source_path", F.lit(load_id).alias("load_id")).distinct()
+    record_load(spark, root, load_id, mark.union(files))
     return counts
 
 
@@ -336,17 +368,24 @@ def run(
     force: bool = False,
     folders: str = "event_date",
     versioned: bool = False,
+    multi_line: bool = False,
 ) -> dict[str, int]:
     """Load one day's files or all that arrived, and carry every change they make through all layers.
 
     With `versioned`, the first run decides that the tables of `root` are kept in versions; they are then
-    read by `read_table`, which gives readers one whole version at any time. Returns the rows of the load (`bronze`), how many of them were `rejected`, the rows of the changed
+    read by `read_table`, which gives readers one whole version at any time. `multi_line` takes line breaks in
+    quoted cells, at the price of one task per file. Returns the rows of the load (`bronze`), how many of them were `rejected`, the rows of the changed
     ids in `silver`, and how many of those are `invalid`.
     """
     if versioned and not exists(spark, f"{root}/bronze"):
         keep_versions(spark, root)
-    written, rejected = load(spark, landing, root, now, batch_id, day, force, folders)
-    counts = {"bronze": written, "rejected": rejected, "silver": 0, "invalid": 0}
+    written, rejected = load(spark, landing, root, now, batch_id, day, force, folders, multi_line)
+    return {"bronze": written, "rejected": rejected, **carry(spark, root, now, as_of)}
+
+
+def carry(spark: SparkSession, root: str, now: str, as_of: str) -> dict[str, int]:
+    """Carry what loads and the passing of time have changed through all layers."""
+    counts = {"silver": 0, "invalid": 0}
     change = pending(spark, root, now)
     if change:
         found = build_silver(spark, root, now, change)

@@ -408,7 +408,36 @@ ORACLES = {
     "bronze_incremental_files": _with(
         BRONZE, f"SELECT {BRONZE_OUT}, ingested_at, {BATCH} FROM bronze WHERE reason = ''"
     ),
+    "stream_fact": _with(ARRIVED_FACT, f"SELECT {FACT_OUT} FROM fact"),
     "stream_bronze": _with(BRONZE, f"SELECT {BRONZE_OUT}, {BATCH} FROM bronze WHERE reason = ''"),
+    "bronze_malformed_lines": _with(
+        BRONZE,
+        """SELECT fault, accepted, count(*) AS rows FROM (
+  SELECT CASE WHEN n % 131 = 0 THEN 'extra_cells' WHEN n % 137 <> 0 AND n % 139 = 0 THEN 'open_quote' ELSE '' END AS fault,
+         n % 131 <> 0 AND (n % 137 = 0 OR n % 139 <> 0) AND (reason = '' OR (n % 137 = 0 AND reason = 'overflow_quantity'))
+           AS accepted,
+         unnest(CASE WHEN n % 131 <> 0 AND n % 137 <> 0 AND n % 139 = 0 THEN [1, 2] ELSE [1] END)
+  FROM bronze) GROUP BY ALL""",
+    ),
+    "bronze_time_formats": _with(
+        BRONZE + """,
+spelled AS (
+  SELECT *, n % 53 <> 0 AND ((n % 5 = 3 OR n % 5 = 4) AND day(event_timestamp) <= 12
+            AND day(event_timestamp) <> month(event_timestamp)) AS unclear
+  FROM bronze),
+told AS (
+  SELECT event_id, n, reason, unclear, event_date,
+         CASE WHEN NOT unclear THEN date_trunc(CASE WHEN n % 5 IN (1, 4) THEN 'minute' ELSE 'second' END, event_timestamp) END
+           AS event_timestamp
+  FROM spelled)""",
+        """SELECT DISTINCT event_id, event_timestamp, event_date,
+       CASE WHEN unclear THEN concat_ws(',',
+         nullif(array_to_string(list_filter(string_split(reason, ','), lambda r: r IN ('null_user_id', 'null_event_type')), ','), ''),
+         'null_event_timestamp',
+         nullif(array_to_string(list_filter(string_split(reason, ','), lambda r: r IN ('blank_user_id', 'overflow_quantity')), ','), ''),
+         'ambiguous_event_timestamp') ELSE reason END AS reject_reason
+FROM told""",
+    ),
     "dedup_events": _with(
         DIRTY,
         f"SELECT {BRONZE_OUT} FROM (SELECT *, row_number() OVER (PARTITION BY event_id"

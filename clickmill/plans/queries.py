@@ -137,6 +137,26 @@ def bronze_incremental_files(spark, sf_dir):
     return daily_run.read_bronze(spark, folder).drop("source_file")
 
 
+@query
+def bronze_malformed_lines(spark, sf_dir):
+    """Files in which some lines have cells too many, end early, or break within a quoted cell: rows by what
+    is wrong with their line, and whether they are accepted."""
+    folder = scratch_folder(spark, "bronze_malformed_lines")
+    text = sample.malformed_lines(sample.raw_text(spark, sf_dir).drop("file_date"))
+    text.write.options(header="true", quote="\x02", sep="\x01").csv(f"{folder}/landing/event_date=2024-03-25")
+    daily_run.load(spark, f"{folder}/landing", folder, NOW, "batch_1")
+    fault = F.regexp_extract("reject_reason", "(extra_cells|open_quote)$", 1).alias("fault")
+    rows = daily_run.read_rows(spark, folder).select(fault, (F.col("reject_reason") == "").alias("accepted"))
+    return rows.groupBy("fault", "accepted").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def bronze_time_formats(spark, sf_dir):
+    """Times spelled in five ways, one of which may leave month and day open."""
+    rows = bronze.typed_rows(sample.spelled_times(spark, sf_dir), NOW, "batch_1")
+    return rows.select("event_id", "event_timestamp", "event_date", "reject_reason").distinct()
+
+
 @query
 def dedup_events(spark, sf_dir):
     return silver.dedup_events(_dirty(spark, sf_dir))
@@ -484,6 +504,22 @@ def stream_bronze(spark, sf_dir):
     return bronze.accepted(rows).select(*[c for c in BRONZE.fieldNames() if c not in ("source_file", "ingested_at")])
 
 
+@query
+def stream_fact(spark, sf_dir):
+    """The fact of a stream whose micro-batches are carried into the daily job's tables, in two deliveries,
+    the second with copies of earlier ids: the same as that of one run over all files."""
+    folder = scratch_folder(spark, "stream_fact")
+    text = _arriving(spark, sf_dir)
+    late = F.crc32(F.concat_ws(" ", "event_id", "event_timestamp")) % 5 == 0
+    for part in (~late, late):
+        rows = text.where(part).select(RAW.fieldNames())
+        rows.coalesce(2).write.mode("append").options(header="true", escape='"').csv(f"{folder}/landing")
+        file_stream.publish_available(
+            spark, f"{folder}/landing", f"{folder}/tables", f"{folder}/checkpoint", NOW, AS_OF
+        )
+    return spark.read.parquet(f"{folder}/tables/fact_events").select(FACT.fieldNames())
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """The dirty events read as a stream, each id kept once."""

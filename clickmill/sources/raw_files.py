@@ -12,6 +12,8 @@ from clickmill.schemas import RAW
 # Quotes are doubled inside quoted cells; cells are read as text and coerced later.
 LINEAGE = ["source_file", "source_path"]
 CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
+LINE = "_line"  # the whole line, where it does not have as many cells as the header
+QUOTED = r'"([^"]|"")*"'
 
 
 def file_key(path: Column) -> Column:
@@ -45,10 +47,22 @@ def not_loaded(files: DataFrame, loaded: DataFrame | None) -> DataFrame:
     return files.join(loaded.select("source_path").distinct(), "source_path", "left_anti")
 
 
+def line_fault(cells: int) -> Column:
+    """What is wrong with a line of other than `cells` cells: `open_quote`, a quoted cell that does not end
+    on this line or began before it, or `extra_cells`. A line that merely ends early has missing values."""
+    line = F.col(LINE)
+    found = F.length(F.regexp_replace(F.regexp_replace(line, QUOTED, ""), "[^,]", "")) + 1
+    return F.when(F.regexp_count(line, F.lit('"')) % 2 == 1, "open_quote").when(found > cells, "extra_cells")
+
+
 def read_raw(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """All cells as text, plus `source_file` and `source_path`.
+    """All cells as text, plus `source_file`, `source_path` and `line_fault` (null for a sound line).
+
+    Files are split at line ends, so that a large one is read by many tasks; a line break in a quoted cell
+    then leaves two faulty lines, neither of which is taken for an event. With `multi_line` such cells are
+    read as they are, each file by one task.
 
     The file's own date counts, never its folder's. `columns` is the header of the files if it is
     not the full one; absent columns read as null. A header that does not match fails the read
@@ -57,11 +71,12 @@ def read_raw(
     names = list(columns) if columns else RAW.fieldNames()
     schema = ", ".join(f"`{name}` string" for name in names)
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(f"{schema}, {LINE} string")
         .options(**CSV_OPTIONS, enforceSchema="false", recursiveFileLookup="true")
+        .options(columnNameOfCorruptRecord=LINE, multiLine=str(multi_line).lower(), pathGlobFilter="*.csv")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    return df.select(*raw_columns(df.columns), *lineage_columns())
+    return df.select(*raw_columns(names), *lineage_columns(), line_fault(len(names)).alias("line_fault"))
 
 
 def lineage_columns() -> list[Column]:
@@ -84,7 +99,7 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     One text scan in Spark; only a file's first split can hold its header, and every header names
     the event id, so all other lines drop out before the grouping.
     """
-    lines = spark.read.option("recursiveFileLookup", "true").text(list(paths))
+    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.csv").text(list(paths))
     line = F.regexp_replace("value", r'["\r]', "")
     headers = lines.where(
         (F.col("_metadata.file_block_start") == 0)
@@ -93,15 +108,15 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return headers.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min(line).alias("header"))
 
 
-def read_raw_any(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_raw_any(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
     """Like `read_raw` for files whose headers differ: each layout is read with its own columns."""
     layouts: dict[str, list[str]] = {}
     for row in file_headers(spark, paths).collect():  # one row per listed file
         layouts.setdefault(row["header"], []).append(row["path"])
     if not layouts:
-        fields = [*RAW.fields, *[T.StructField(c, T.StringType()) for c in LINEAGE]]
+        fields = [*RAW.fields, *[T.StructField(c, T.StringType()) for c in (*LINEAGE, "line_fault")]]
         return spark.createDataFrame([], T.StructType(fields))
-    parts = [read_raw(spark, files, header.split(",")) for header, files in layouts.items()]
+    parts = [read_raw(spark, files, header.split(","), multi_line) for header, files in layouts.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -173,3 +173,37 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("file_date").cast("string").alias("source_path"),
         "file_date",
     )
+
+
+def malformed_lines(text: DataFrame) -> DataFrame:
+    """The raw rows as lines of CSV files, in one column that is named like their header. By the event's
+    number some have two cells too many, some end after eight cells, some break within the quoted product name."""
+    names = [c for c in text.columns if c not in ("source_file", "source_path")]
+    n = F.substring("event_id", 2, 20).cast("long")
+    quoted = F.concat(F.lit('"'), F.col("product_name"), F.lit(' one"'))
+    cells = [F.coalesce(quoted if c == "product_name" else F.col(c), F.lit("")) for c in names]
+    whole = F.concat_ws(",", *cells)
+    at = names.index("product_name")
+    halves = F.array(
+        F.concat(F.concat_ws(",", *cells[:at]), F.lit(',"'), F.coalesce("product_name", F.lit(""))),
+        F.concat(F.lit('one",'), F.concat_ws(",", *cells[at + 1 :])),
+    )
+    lines = (
+        F.when(n % 131 == 0, F.array(F.concat(whole, F.lit(",more,cells"))))
+        .when(n % 137 == 0, F.array(F.concat_ws(",", *cells[:8])))
+        .when(n % 139 == 0, halves)
+        .otherwise(F.array(whole))
+    )
+    return text.select(F.explode(lines).alias(",".join(names)))  # the column's name makes the header
+
+
+def spelled_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows whose times are spelled by the event's number: ISO, day or month first, year first."""
+    kinds = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm", "dd.MM.yyyy HH:mm:ss", "M/d/yyyy H:mm:ss", "dd/MM/yyyy HH:mm"]
+    kind = F.substring("event_id", 2, 20).cast("long") % 5
+    at = F.col("event_timestamp").try_cast("timestamp")
+    spelled = F.coalesce(*[F.when(kind == i, F.date_format(at, k)) for i, k in enumerate(kinds)])
+    day = F.when(kind == 2, F.date_format(F.col("event_date").cast("date"), "d.M.yyyy"))
+    return raw_text(spark, sf_dir).drop("file_date").withColumns(
+        {"event_timestamp": F.coalesce(spelled, "event_timestamp"), "event_date": F.coalesce(day, "event_date")}
+    )
