@@ -14,12 +14,14 @@ the id, each cut is ranked by itself, and the cuts' counts give where each one s
 Sequences are padded to `width`, or to the next power of two where that is less.
 
 Nulls: a null text is empty, and an empty text is one end id. Null ids are kept. Rows that agree in id
-and text are packed each by itself and are interchangeable. Texts of any length are tokenized whole. An
+and text are packed each by itself and are interchangeable. Texts of any length are tokenized whole; white
+space of any length, too. An
 empty table gives an empty result. Further columns are not carried along and cannot clash.
 """
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 
 from clickmill.llm.common import documents, partitions, written
 
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # what the pattern takes for white space
+LONG = 10_000  # white space that long is not left to the pattern, which keeps a state for each character of it
 PIECES = "doc_id long, text_key long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -64,13 +68,26 @@ class Encoder:
 
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.added = tuple(added or {})
         self.encoding = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {}
         )
+        # White space by itself: one piece, however long.
+        self.spaces = tiktoken.Encoding("spaces", pat_str=f"[{SPACE}]+", mergeable_ranks=ranks, special_tokens={})
+        self.long = re.compile(f"[{SPACE}]{{{LONG},}}")
 
     def whole(self, text: str) -> bytes:
-        ids = self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
-        return ids.astype("<u4").tobytes()
+        ids, at = [], 0
+        for run in self.long.finditer(text) if len(text) >= LONG else ():
+            start, end = run.span()
+            if end < len(text) and not text.startswith(self.added, end):
+                end -= 1  # the last one goes with the word after it, as the pattern has it
+            ids += [self._ids(text[at:start]), self.spaces.encode_to_numpy(text[start:end])]
+            at = end
+        return np.concatenate([*ids, self._ids(text[at:])]).astype("<u4").tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 def pieces(docs: DataFrame, vocabulary: str, width: int = 1024) -> DataFrame:
