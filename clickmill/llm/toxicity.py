@@ -14,7 +14,8 @@ sampled rows is scored by the counts of the other two.
 A word that the sample does not have is compared by its first `STEM` bytes, under models of their own.
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z as a-z. Labels are learned from at
 most `SAMPLE` rows per class, chosen among the labelled rows by the hash of the id, then of the text, and read
-whole; rows that agree in id, text and label are learned from once. The classes need not be of one size: each
+whole, as far as their texts together hold at most `SAMPLE_BYTES` per class (the first row always counts). They are
+counted by Spark: the driver gets a row per different word, and then a row of sums per sampled text. Rows that agree in id, text and label are learned from once. The classes need not be of one size: each
 has its own counts, and the curve weighs its rows by the labels' shares. Every whole text is scored. The model
 is a table of the sample's words.
 
@@ -28,13 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import documents, fold, schema_of
+from clickmill.llm.common import documents, fold, schema_of, small_batches, written
 from clickmill.llm.text import hashed_words, mix, row_of
 
 SAMPLE = 4000
+SAMPLE_BYTES = 16_000_000
 LEVEL = 0.7
 MARGINS = (0.0, 1.0, 2.0, 3.0, 4.0)  # a word says nothing unless one class uses it more than e**margin times as much
 POWERS = (0.5, 0.0, 1.0)
@@ -44,36 +47,65 @@ _NEXT = np.uint64(0x9FB21C651E98DF25)
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """`toxic`, `part`, `words`, `stems` of the sampled rows; at most `2 * sample` keys are sent to every task."""
+    """`toxic`, `part`, `text` of the sampled rows; at most `2 * sample` keys are sent to every task."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("key"))
-    keys = texts.select("doc_id", "key").join(known, "doc_id").distinct()
-    chosen = [
-        keys.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(sample) for c in (0, 1)
-    ]
-    ids = F.broadcast(chosen[0].union(chosen[1]))
+    texts = docs.where(F.col("text").isNotNull()).select(
+        "doc_id", "text", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("size")
+    )
+    keys = texts.select("doc_id", "key", "size").join(known, "doc_id").distinct()
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("key")]
+    chosen = [keys.where(F.col("toxic") == c).orderBy(*order).limit(sample) for c in (0, 1)]
+    first = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    held = F.sum("size").over(first)  # over at most `sample` rows a class
+    within = chosen[0].union(chosen[1]).withColumn("held", held)
+    within = within.where((F.col("held") <= SAMPLE_BYTES) | (F.col("held") == F.col("size")))
+    ids = F.broadcast(within.select("doc_id", "key", "toxic"))
     rows = texts.join(ids, ["doc_id", "key"]).groupBy("doc_id", "key", "toxic").agg(F.first("text").alias("text"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [
-                pa.array(
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(THIRDS)).cast("int").alias("part")
+    return rows.select(F.col("toxic").cast("int"), part, "text")
+
+
+CELLS = [(c, p) for c in (0, 1) for p in range(THIRDS)]
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (stem, word, pair, cell, n): how often a word follows another, by class and third."""
+    for batch in batches:
+        toxic, part = (batch.column(c).to_numpy().astype(np.uint64) for c in ("toxic", "part"))
+        cells = toxic * np.uint64(THIRDS) + part
+        for stem in (0, STEM):
+            for first, bounds, hashes in hashed_words(batch.column("text"), True, stem):
+                if not len(hashes):
+                    continue
+                before = np.empty_like(hashes)
+                before[1:] = hashes[:-1]
+                before[bounds[:-1][np.diff(bounds) > 0]] = 1  # a text's first word follows a mark of its own
+                pair = mix(mix(before ^ _NEXT) + hashes)
+                cell = cells[first + row_of(bounds)]
+                _, at, n = np.unique(mix(pair ^ cell), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
                     [
-                        hashes[start:stop].tobytes()
-                        for _, bounds, hashes in hashed_words(batch.column(0), True, stem)
-                        for start, stop in zip(bounds[:-1], bounds[1:])
+                        pa.array(np.full(len(at), stem > 0)), pa.array(hashes[at].view(np.int64)),
+                        pa.array(pair[at].view(np.int64)), pa.array(cell[at].astype(np.int32)), pa.array(n.astype(np.int64)),
                     ],
-                    pa.binary(),
-                )
-                for stem in (0, STEM)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), *held], ["toxic", "part", "words", "stems"]
-            )
+                    ["stem", "word", "pair", "cell", "n"],
+                )
 
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(THIRDS)).cast("int").alias("part")
-    return rows.select("text", F.col("toxic").cast("int"), part).mapInArrow(
-        words, "toxic int, part int, words binary, stems binary"
+
+def _counts(sampled: DataFrame) -> DataFrame:
+    """`stem`, `word`, its counts `n0` ... by class and third, and in `f0` ... how many different words it
+    follows in each class without each third."""
+    found = sampled.mapInArrow(_pairs, "stem boolean, word long, pair long, cell int, n long")
+    in_cell = lambda i: F.col("cell") == i
+    pairs = found.groupBy("stem", "word", "pair").agg(
+        *[F.sum(F.when(in_cell(i), F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(CELLS))]
+    )
+    follows = []
+    for c, third in CELLS:
+        there = [F.col(f"n{i}") > 0 for i, (d, p) in enumerate(CELLS) if d == c and p != third]
+        follows.append(F.count_if(there[0] | there[1]).cast("int").alias(f"f{len(follows)}"))
+    return pairs.groupBy("stem", "word").agg(
+        *[F.sum(f"n{i}").cast("int").alias(f"n{i}") for i in range(len(CELLS))], *follows
     )
 
 
@@ -83,17 +115,13 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
     return np.clip([i - (i + 1) * y * n[i] / n[i - 1] for i in (1, 2, 3)], 0.1, [0.95, 1.9, 2.85])
 
 
-def kneser_ney(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, float]:
-    """(words, their log-likelihood ratios, the ratio of a word never seen) for ordinary and toxic texts."""
-    vocabulary = np.unique(np.concatenate([w for one in texts for w in one] or [np.empty(0, np.uint64)]))
-    size = len(vocabulary)
-    counts, follows = [], []
-    for one in texts:
-        words = np.concatenate(one or [np.empty(0, np.uint64)])
-        counts.append(np.bincount(np.searchsorted(vocabulary, words), minlength=size))
-        before = np.concatenate([np.append(np.uint64(1), w[:-1]) for w in one if len(w)] or [words])
-        pairs = np.unique(np.stack([mix(before ^ _NEXT), words]), axis=1)[1] if len(words) else words
-        follows.append(np.bincount(np.searchsorted(vocabulary, pairs), minlength=size))
+def kneser_ney(
+    words: np.ndarray, counts: list[np.ndarray], follows: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """(words, their log-likelihood ratios, the ratio of a word never seen) from each word's count and
+    continuation count in ordinary and toxic texts. `words` is sorted."""
+    seen = counts[0] + counts[1] > 0
+    words, counts, follows = words[seen], [c[seen] for c in counts], [f[seen] for f in follows]
     scale = [max(1, f.sum()) / max(1, follows[0].sum()) for f in follows]
     shared = np.maximum(np.minimum(follows[0] / scale[0], follows[1] / scale[1]), 1.0)
     shared /= shared.sum() + 1  # the 1 is for words never seen
@@ -104,13 +132,18 @@ def kneser_ney(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, f
         spare = off.sum() / total
         logs.append(np.log((count - off) / total + spare * shared))
         new.append(np.log(max(spare, 1e-9)))
-    return vocabulary, logs[1] - logs[0], float(new[1] - new[0])
+    return words, logs[1] - logs[0], float(new[1] - new[0])
 
 
 def _beyond(ratio, margin: float):
     return np.sign(ratio) * np.maximum(np.abs(ratio) - margin, 0)
 
 
+def _sums(ratio: np.ndarray, bounds: np.ndarray, margin: float) -> np.ndarray:
+    """Each row's sum of what its words' ratios exceed the margin by."""
+    return np.bincount(row_of(bounds), _beyond(ratio, margin), len(bounds) - 1)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 100) -> tuple[float, float]:
     """Slope and offset of a weighted logistic curve, by Newton steps with a little shrinkage."""
     a, b = 0.0, 0.0
@@ -145,8 +178,9 @@ class Model:
         return ratio
 
     def summed(self, ratio: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        lengths = np.diff(bounds)
-        sums = np.bincount(row_of(bounds), _beyond(ratio, self.margin), len(lengths))
+        return self.scaled(_sums(ratio, bounds, self.margin), np.diff(bounds))
+
+    def scaled(self, sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return sums / np.maximum(lengths, 1) ** self.power
 
     def evidence(self, hashes: np.ndarray, stems: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -156,25 +190,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -30, 30)))
 
 
-def _joined(seen: list[list[np.ndarray]], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words and stems of the rows one after the other, and the rows' bounds."""
-    bounds = np.concatenate([[0], np.cumsum([len(seen[0][i]) for i in rows])])
-    return *(np.concatenate([one[i] for i in rows]) for one in seen), bounds
-
-
 def _weights(y: np.ndarray, share: float) -> np.ndarray:
     return np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
 
 
-def _chosen(folds: list[tuple[Model, np.ndarray, np.ndarray, np.ndarray]], share: float) -> tuple[float, float]:
-    """Margin and power with the least loss over folds (model, its ratios for unseen rows, bounds, labels)."""
+def _by_margin(ratio: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.stack([_sums(ratio, bounds, margin) for margin in MARGINS], 1)
+
+
+def _chosen(folds: list[tuple["Model", np.ndarray, np.ndarray, np.ndarray]], share: float) -> tuple[float, float]:
+    """`_least_loss` over folds (model, its ratios for unseen rows, bounds, labels)."""
+    return _least_loss([(_by_margin(ratio, bounds), np.diff(bounds), y) for _, ratio, bounds, y in folds], share)
+
+
+def _least_loss(folds: list[tuple[np.ndarray, np.ndarray, np.ndarray]], share: float) -> tuple[float, float]:
+    """Margin and power with the least loss over folds of rows: (sums by row and margin, lengths, labels),
+    the sums by a model that did not see these rows."""
     losses = {}
-    for margin in MARGINS:
+    for i, margin in enumerate(MARGINS):
         for power in POWERS:
             total = 0.0
-            for model, ratio, bounds, y in folds:
-                model.margin, model.power = margin, power
-                x, weight = model.summed(ratio, bounds), _weights(y, share)
+            for sums, lengths, y in folds:
+                model = Model(None, None, 1.0, 0.0, margin, power)
+                x, weight = model.scaled(sums[:, i], lengths), _weights(y, share)
                 model.slope, model.offset = logistic(x, y, weight)
                 sure = np.where(y == 1, model.score(x), 1 - model.score(x))
                 total -= float(weight @ np.log(np.maximum(sure, 1e-12)))
@@ -182,8 +220,42 @@ def _chosen(folds: list[tuple[Model, np.ndarray, np.ndarray, np.ndarray]], share
     return min(losses, key=losses.get)
 
 
+def _evidence(sampled: DataFrame, models: list) -> DataFrame:
+    """`toxic`, `part`, `n` words, and the sums by margin: `own` by the model without the row's third, `first`
+    by the first model."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            words, stems = (hashed_words(batch.column("text"), True, stem) for stem in (0, STEM))
+            for (first, bounds, hashes), (_, _, short) in zip(words, stems):
+                held = slice(first, first + len(bounds) - 1)
+                sums = np.zeros((2, len(bounds) - 1, len(MARGINS)))
+                for third, model in enumerate(models):
+                    if model is None or (third and not (part[held] == third).any()):
+                        continue
+                    ratio = model.ratios(hashes, short)
+                    made = _by_margin(ratio, bounds)
+                    mine = part[held] == third
+                    sums[0, mine] = made[mine]
+                    if not third:
+                        sums[1] = made
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("toxic").slice(first, len(bounds) - 1), pa.array(part[held]),
+                        pa.array(np.diff(bounds)), *(pa.array(list(x), pa.list_(pa.float64())) for x in sums),
+                    ],
+                    ["toxic", "part", "n", "own", "first"],
+                )
+
+    return sampled.select("toxic", "part", "text").mapInArrow(
+        rows, "toxic int, part int, n long, own array<double>, first array<double>"
+    )
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows given; two thirds of the sample are counted, one third calibrates."""
+    small_batches(docs.sparkSession)
     shares = {r["toxic"]: r["count"] for r in labels.where("toxic IN (0, 1)").groupBy("toxic").count().collect()}
     total = sum(shares.values())
     share = shares.get(1, 0) / total if total else 0.0
@@ -191,33 +263,45 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     odds = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     if not min(shares.get(0, 0), shares.get(1, 0)):
         return Model(nothing, nothing, 0.0, odds)
-    held = _sampled(docs, labels, sample).toArrow()
-    toxic, part = (held.column(i).to_numpy() for i in range(2))
-    seen = [[np.frombuffer(w.as_py(), np.uint64) for w in held.column(i)] for i in (2, 3)]
+    sampled = written(_sampled(docs, labels, sample), "sampled")
+    found = _counts(sampled).toArrow()
+    rows_of = {(r["toxic"], r["part"]) for r in sampled.groupBy("toxic", "part").count().collect()}
+    tables = []
+    for stem in (False, True):
+        kind = found.filter(pc.equal(found.column("stem"), stem))
+        words = kind.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(words)
+        held = {c: kind.column(c).to_numpy()[order] for c in kind.column_names[2:]}
+        tables.append((words[order], held))
+    del found, kind
 
     def counted(third: int) -> Model | None:
         """The model of all rows but this third's."""
-        texts = [
-            [[w for w, t, p in zip(one, toxic, part) if t == c and p != third] for c in (0, 1)] for one in seen
-        ]
-        return Model(*(kneser_ney(one) for one in texts), 1.0, 0.0) if all(texts[0]) else None
+        if any(not any((c, p) in rows_of for p in range(THIRDS) if p != third) for c in (0, 1)):
+            return None
+        made = []
+        for words, held in tables:
+            counts = [sum(held[f"n{i}"] for i, (d, p) in enumerate(CELLS) if d == c and p != third) for c in (0, 1)]
+            made.append(kneser_ney(words, counts, [held[f"f{CELLS.index((c, third))}"] for c in (0, 1)]))
+        return Model(*made, 1.0, 0.0)
 
     model = counted(0)
     if model is None:
         return Model(nothing, nothing, 0.0, odds)
+    seen = _evidence(sampled, [model, *(counted(third) for third in range(1, THIRDS))]).toArrow()
+    toxic, part, n = (seen.column(i).to_numpy() for i in range(3))
+    own, first = (np.array(seen.column(i).to_pylist()).reshape(-1, len(MARGINS)) for i in (3, 4))
     folds = []
     for third in range(THIRDS):
-        rest = np.flatnonzero(part == third)
-        if len(np.unique(toxic[rest])) == 2 and (other := counted(third) if third else model):
-            words, stems, bounds = _joined(seen, rest)
-            folds.append((other, other.ratios(words, stems), bounds, toxic[rest].astype(float)))
+        rest = part == third
+        if len(np.unique(toxic[rest])) == 2 and counted(third):
+            folds.append((own[rest], n[rest], toxic[rest].astype(float)))
     if folds:
-        model.margin, model.power = _chosen(folds, share)
-    rest = np.flatnonzero(part == 0)
+        model.margin, model.power = _least_loss(folds, share)
+    rest = part == 0
     if len(np.unique(toxic[rest])) < 2:
-        rest = np.arange(len(toxic))
-    x = model.evidence(*_joined(seen, rest))
-    y = toxic[rest].astype(float)
+        rest = np.ones(len(toxic), bool)
+    x, y = model.scaled(first[rest][:, MARGINS.index(model.margin)], n[rest]), toxic[rest].astype(float)
     model.slope, model.offset = logistic(x, y, _weights(y, share))
     return model
 
