@@ -2,13 +2,14 @@
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+Operator = Callable[..., DataFrame]
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -27,22 +28,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> Iterator[None]:
-    """Within it, rows go to and from Python in batches of at most so many rows and bytes.
+def small_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
+    """From now on rows go to and from Python in batches of at most so many rows and bytes, unless the
+    session has a setting of its own.
 
     What a batch makes out of whole texts or sets is held several times over, on both sides; the default of
     10,000 rows and 64 MB does not suit tasks that share 3 GB.
     """
-    names = [f"spark.sql.execution.arrow.max{what}PerBatch" for what in ("Records", "Bytes")]
-    before = [spark.conf.get(name, None) for name in names]
-    for name, value in zip(names, (rows, size)):
-        spark.conf.set(name, str(value))
-    try:
-        yield
-    finally:
-        for name, value in zip(names, before):
-            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    for what, value in (("Records", rows), ("Bytes", size)):
+        name = f"spark.sql.execution.arrow.max{what}PerBatch"
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, str(value))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -67,6 +63,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def clash_free(*own: str) -> Callable[[Operator], Operator]:
+    """For an operator whose first argument is a frame that it carries along: columns of the frame with one of
+    the operator's `own` names go by another name inside and get theirs back at the end."""
+
+    def wrap(operator: Operator) -> Operator:
+        @wraps(operator)
+        def kept(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            clashing = [c for c in docs.columns if c.lower() in own]
+            names = {c: f"carried_{i}_{uuid.uuid4().hex}" for i, c in enumerate(clashing)}
+            if not names:
+                return operator(docs, *args, **kwargs)
+            out = operator(docs.withColumnsRenamed(names), *args, **kwargs)
+            return out.withColumnsRenamed({name: c for c, name in names.items()})
+
+        return kept
+
+    return wrap
+
+
 def schema_of(df: DataFrame, columns: str) -> T.StructType:
     """The columns of a frame, and more of them as DDL."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(columns).fields])

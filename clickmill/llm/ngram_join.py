@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import documents, small_batches, written
+from clickmill.llm.common import clash_free, documents, small_batches, written
 from clickmill.llm.components import components
 from clickmill.llm.text import hashed_words, mix
 
@@ -406,11 +406,7 @@ def _linked_in_long_lists(lists: DataFrame, holders: Holders, percent: int) -> D
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of every row."""
-    with small_batches(docs.sparkSession):
-        return _near_duplicates(docs, percent)
-
-
-def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
+    small_batches(docs.sparkSession)
     described = written(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_describe, "doc_id long, n long, sig long"),
         "sets",
@@ -467,6 +463,7 @@ def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     )
 
 
+@clash_free("__doc", "__n")
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents without near duplicates: of each group the smallest id stays, with its first row.
 

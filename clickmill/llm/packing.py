@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import documents, partitions, written
+from clickmill.llm.common import documents, partitions, small_batches, written
 
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # what the pattern takes for white space
 LONG = 10_000  # white space that long is not left to the pattern, which keeps a state for each character of it
@@ -263,6 +263,7 @@ def slots(made: list[tuple[dict[int, int], int]], width: int) -> dict[str, np.nd
 def pack(docs: DataFrame, vocabulary: str, width: int = 1024) -> DataFrame:
     """Pieces with `sequence_id` and `offset`; in each sequence the pieces stand without a gap from 0."""
     spark = docs.sparkSession
+    small_batches(spark)
     cuts = partitions(spark)
     cut = F.pmod(F.xxhash64("doc_id", "text_key", "start"), F.lit(cuts)).cast("int")
     held = written(pieces(docs, vocabulary, width), "pieces").withColumn("cut", cut)
