@@ -17,11 +17,12 @@ result.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import documents
+from clickmill.llm.common import clash_free, documents
 
 WINDOW = 3
 
 
+@clash_free("__key", "__lines", "__doc", "__gone", "__at")
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with `text` shortened, `n_lines` before and `n_removed`."""
     carried = docs.drop("n_lines", "n_removed")

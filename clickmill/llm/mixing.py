@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import WORD, documents, partitions
+from clickmill.llm.common import WORD, clash_free, documents, partitions
 
 UNIT = 1 << 24
 STEPS = 8  # size classes per doubling
@@ -65,6 +65,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     )
 
 
+@clash_free("__key", "__class", "__scatter", "__cut", "__text", "__rows", "__words", "__source", "__rate", "__start", "__upto")
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 7) -> DataFrame:
     """The documents with `size`, `source_size`, `target` and `copies`, the times each is emitted."""
     bits = max(0, math.ceil(math.log2(max(1, partitions(docs.sparkSession) // 4))))
@@ -114,7 +115,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 7) ->
 def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each document as many times as it is taken; repeats are equal rows."""
     times = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")
-    return mixed.where("copies > 0").select(*columns, times).drop("__copy")
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")
+    return mixed.where("copies > 0").select(row, times).select("row.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
