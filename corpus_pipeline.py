@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all but the last
 return the columns of `documents`.
+
+Odd rows pass through whole. Null and empty texts are kept by every stage (a document that loses all its
+lines stays, with an empty text) and become one end id each when they are packed. Null ids are kept; rows that
+repeat an id and a text are one document for the near duplicates, of which one row stays, and separate rows
+elsewhere. Null sources are a source of their own. Texts of any length are read whole. Further columns,
+whatever their names, are carried as far as mixing. Empty tables give empty results.
 """
 
 from pyspark.sql import DataFrame, SparkSession
