@@ -45,18 +45,17 @@ def ambiguous(name: str) -> Column:
 
 def read_time(name: str, kind: str) -> Column:
     """The cell as an ISO time or date, else by the first format that fits; null if none does or the cell is
-    ambiguous. The formats are only tried on cells that ISO cannot read."""
+    ambiguous. The formats are only tried on cells that ISO cannot read, and ISO is tried once."""
     cell = F.col(name)
     first = F.coalesce(*[_spelled(name, f) for f in DAY_FORMATS]).cast(kind)
-    iso = cell.try_cast(kind)
-    return F.when(iso.isNotNull() | cell.isNull(), iso).when(~ambiguous(name), first)
+    return F.coalesce(cell.try_cast(kind), F.when(cell.isNotNull() & ~ambiguous(name), first))
 
 
 def unclear_times() -> Column:
     """A reason for each cell whose month and day cannot be told apart."""
     return F.array(
         *[
-            F.when(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull() & ambiguous(c), F.lit(f"ambiguous_{c}"))
+            F.when(F.col(c).try_cast(kind).isNull() & F.col(c).isNotNull() & ambiguous(c), F.lit(f"ambiguous_{c}"))
             for c, kind in (("event_timestamp", "timestamp_ntz"), ("event_date", "date"))
         ]
     )
@@ -80,19 +79,23 @@ def fitting(name: str) -> Column:
 
 
 def overflows() -> Column:
-    """A reason for each number that can be read but is too large for its column."""
+    """A reason for each number that can be read but is too large for its column; only cells that gave no
+    value are matched."""
     return F.array(
         *[
-            F.when(F.col(c).rlike(NUMBER) & fitting(c).isNull(), F.lit(f"overflow_{c}"))
+            F.when(fitting(c).isNull() & F.col(c).rlike(NUMBER), F.lit(f"overflow_{c}"))
             for c in (*AMOUNTS, "quantity")
         ]
     )
 
 
 def problems() -> Column:
-    """All reasons against a typed row: required cells without a value, or with blanks only."""
+    """All reasons against a typed row: required cells without a value, or with blanks only. A cell that begins
+    with a visible ASCII character is not searched."""
     no_value = [(F.col(c).isNull(), f"null_{c}") for c in REQUIRED]
-    only_blanks = [(~F.col(c).rlike(r"(?U)\S"), f"blank_{c}") for c in REQUIRED_TEXT]
+    only_blanks = [
+        (~F.ascii(c).between(33, 126) & ~F.col(c).rlike(r"(?U)\S"), f"blank_{c}") for c in REQUIRED_TEXT
+    ]
     return F.array(*[F.when(wrong, F.lit(reason)) for wrong, reason in no_value + only_blanks])
 
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.functions import columns as C
@@ -126,13 +126,26 @@ def _deliver(text: DataFrame, landing: str) -> None:
     )
 
 
+def _deliveries(text: DataFrame, first: Column, folder: str) -> list[DataFrame]:
+    """The rows for which `first` holds, and those for which it does not, from one pass over the events.
+
+    The text is written once and marked. A filter on each part would derive all rows twice,
+    and the optimizer would move it down to the scan, where it repeats the derivation of a row's day many times
+    over, in code that is too long for the JVM to compile.
+    """
+    text.withColumn("is_first", first).write.parquet(f"{folder}/sent")
+    sent = text.sparkSession.read.parquet(f"{folder}/sent")
+    return [sent.where(part).drop("is_first") for part in (F.col("is_first"), ~F.col("is_first"))]
+
+
 @query
 def bronze_incremental_files(spark, sf_dir):
     """Two deliveries and two loads; the second load takes only the files of the second delivery."""
     folder = scratch_folder(spark, "bronze_incremental_files")
     text, first = sample.raw_text(spark, sf_dir), F.col("file_date") <= C.day(FIRST_DROP)
-    for batch, part in (("batch_1", first), ("batch_2", ~first)):
-        _deliver(text.where(part), f"{folder}/landing")
+    for number, part in enumerate(_deliveries(text, first, folder), 1):
+        batch = f"batch_{number}"
+        _deliver(part, f"{folder}/landing")
         daily_run.ingest(spark, f"{folder}/landing", folder, NOW, batch, folders="delivered")
     return daily_run.read_bronze(spark, folder).drop("source_file")
 
@@ -304,8 +317,9 @@ def _run_by_day(spark: SparkSession, sf_dir: str, folder: str, versioned: bool =
     text = _arriving(spark, sf_dir)
     late = F.crc32(F.concat_ws(" ", "event_id", "event_timestamp")) % 5 == 0
     first = (F.col("file_date") <= C.day(FIRST_DROP)) & ~late
-    second = text.where(~first).withColumn("file_date", F.date_add("file_date", F.when(late, 1).otherwise(0)))
-    for part in (text.where(first), second):
+    sent, rest = _deliveries(text, first, folder)
+    second = rest.withColumn("file_date", F.date_add("file_date", F.when(late, 1).otherwise(0)))
+    for part in (sent, second):
         _deliver(part, f"{folder}/landing")
         daily_run.run(
             spark, f"{folder}/landing", f"{folder}/tables", NOW, AS_OF, "same", folders="delivered", versioned=versioned
@@ -496,8 +510,9 @@ def stream_bronze(spark, sf_dir):
     """Files read as a stream, in two deliveries; the second run reads only the new files."""
     folder = scratch_folder(spark, "stream_bronze")
     text, first = sample.raw_text(spark, sf_dir), F.col("file_date") <= C.day(FIRST_DROP)
-    for batch, part in (("batch_1", first), ("batch_2", ~first)):
-        _deliver(text.where(part), f"{folder}/landing")
+    for number, part in enumerate(_deliveries(text, first, folder), 1):
+        batch = f"batch_{number}"
+        _deliver(part, f"{folder}/landing")
         rows = file_stream.bronze_stream(file_stream.raw_stream(spark, f"{folder}/landing"), batch)
         file_stream.write_available(rows, f"{folder}/bronze", f"{folder}/checkpoint")
     rows = spark.read.schema(BRONZE_ROWS).parquet(f"{folder}/bronze")
@@ -511,8 +526,8 @@ def stream_fact(spark, sf_dir):
     folder = scratch_folder(spark, "stream_fact")
     text = _arriving(spark, sf_dir)
     late = F.crc32(F.concat_ws(" ", "event_id", "event_timestamp")) % 5 == 0
-    for part in (~late, late):
-        rows = text.where(part).select(RAW.fieldNames())
+    for part in _deliveries(text, ~late, folder):
+        rows = part.select(RAW.fieldNames())
         rows.coalesce(2).write.mode("append").options(header="true", escape='"').csv(f"{folder}/landing")
         file_stream.publish_available(
             spark, f"{folder}/landing", f"{folder}/tables", f"{folder}/checkpoint", NOW, AS_OF
