@@ -519,6 +519,12 @@ def stream_bronze(spark, sf_dir):
     return bronze.accepted(rows).select(*[c for c in BRONZE.fieldNames() if c not in ("source_file", "ingested_at")])
 
 
+def _land(text: DataFrame, landing: str) -> None:
+    """Add raw text as CSV files of full size in one folder: as many tasks write as the rows ask for."""
+    rows = text.select(RAW.fieldNames()).hint("rebalance")
+    rows.write.mode("append").options(header="true", escape='"').csv(landing)
+
+
 @query
 def stream_fact(spark, sf_dir):
     """The fact of a stream whose micro-batches are carried into the daily job's tables, in two deliveries,
@@ -527,8 +533,7 @@ def stream_fact(spark, sf_dir):
     text = _arriving(spark, sf_dir)
     late = F.crc32(F.concat_ws(" ", "event_id", "event_timestamp")) % 5 == 0
     for part in _deliveries(text, ~late, folder):
-        rows = part.select(RAW.fieldNames())
-        rows.coalesce(2).write.mode("append").options(header="true", escape='"').csv(f"{folder}/landing")
+        _land(part, f"{folder}/landing")
         file_stream.publish_available(
             spark, f"{folder}/landing", f"{folder}/tables", f"{folder}/checkpoint", NOW, AS_OF
         )

@@ -7,6 +7,11 @@ from clickmill.plans import queries
 from clickmill.schemas import RAW
 from helpers import plan, rows
 
+SMALL = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+}
+
 
 def texts(spark, days):
     """Raw rows with a delivery day each, null for none."""
@@ -27,6 +32,21 @@ def test_deliveries_part_the_rows_and_read_what_was_written_once(spark, folder):
     assert set(first.inputFiles()) == set(second.inputFiles()) == set(read)  # the input is not derived again
 
 
+def test_as_many_tasks_write_the_stream_s_files_as_the_rows_ask_for(spark, folder):
+    text = texts(spark, ["2024-01-01"] * 4000).repartition(8)
+    before = {key: spark.conf.get(key) for key in SMALL}
+    for key, value in SMALL.items():
+        spark.conf.set(key, value)
+    try:
+        queries._land(text, f"{folder}/landing")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    landed = spark.read.option("header", "true").csv(f"{folder}/landing")
+    assert len(landed.inputFiles()) > 2
+    assert sorted(landed.columns) == sorted(RAW.fieldNames()) and landed.select("event_id").distinct().count() == 4000
+
+
 def test_a_time_is_read_as_iso_once(spark, folder):
     spark.range(1).select(F.col("id").cast("string").alias("t")).write.parquet(f"{folder}/cells")
     cells = spark.read.parquet(f"{folder}/cells")
