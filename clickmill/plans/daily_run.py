@@ -15,7 +15,7 @@ from clickmill.operators.facts import fact_events, stg_events
 from clickmill.operators.quality import check_day, check_tables, enforce
 from clickmill.operators.retention import retention
 from clickmill.plans.incremental import (
-    replace_daily, replace_daily_kpis, replace_days, replace_events, replace_user_totals,
+    common_ids, replace_daily, replace_daily_kpis, replace_days, replace_events, replace_user_totals, written_ids,
 )
 from clickmill.schemas import BRONZE, BRONZE_FILES, BRONZE_TABLE, FACT, OTHER_DAY, SILVER, SILVER_TABLE
 from clickmill.sources.event_index import append_places, places_of, read_places
@@ -194,15 +194,19 @@ def read_rejects(spark: SparkSession, root: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Change:
-    """Loads not yet carried through: the event ids in them and the places of these ids' rows.
+    """Loads not yet carried through, those after `done` up to `last`: the event ids in them and the places of
+    these ids' rows.
 
-    Without `ids` everything is new. `partitions` are silver's, `days` the fact's.
+    Without `ids` everything is new. `partitions` are silver's, `days` the fact's. `former` are those of the ids
+    that loads up to `done` have rows of, which are few as a rule.
     """
 
     last: int
     ids: DataFrame | None
     partitions: list[str]
     days: list[date] | None
+    done: int = 0
+    former: DataFrame | None = None
 
 
 def pending(spark: SparkSession, root: str, now: str) -> Change | None:
@@ -234,19 +238,25 @@ def pending(spark: SparkSession, root: str, now: str) -> Change | None:
         .distinct()
         .collect()  # calendar days since 2020, twice at most
     )
-    return Change(last, ids, sorted({p[0] for p in places}), sorted({p[1] for p in places if p[1]}))
+    partitions = sorted({p[0] for p in places})
+    known = rows.where((F.col("load_id") <= done) & F.col("event_day").isin(partitions))
+    former = written_ids(common_ids(known, ids), f"{root}/former_ids")
+    return Change(last, ids, partitions, sorted({p[1] for p in places if p[1]}), done, former)
 
 
-def _rows_of(spark: SparkSession, rows: DataFrame, change: Change) -> DataFrame:
-    """Bronze or silver rows of the changed ids, from the partitions that hold any."""
+def _rows_of(rows: DataFrame, change: Change) -> DataFrame:
+    """Bronze rows of the changed ids, from the partitions that hold any: all rows of the pending loads, and those
+    of former loads that have one of these ids. Only the latter are joined, with as few ids as there can be."""
     if change.ids is None:
         return rows
-    return rows.where(F.col("event_day").isin(change.partitions)).join(change.ids, "event_id", "left_semi")
+    rows = rows.where(F.col("event_day").isin(change.partitions))
+    former = rows.where(F.col("load_id") <= change.done).join(change.former, "event_id", "left_semi")
+    return rows.where(F.col("load_id").between(change.done + 1, change.last)).unionByName(former)
 
 
 def clean_rows(spark: SparkSession, root: str, now: str, change: Change) -> DataFrame:
     """The one row of each changed id, cleaned, chosen among all rows of that id on any day."""
-    rows = _rows_of(spark, read_rows(spark, root).where("reject_reason = ''"), change)
+    rows = _rows_of(read_rows(spark, root).where("reject_reason = ''"), change)
     return silver.clean(rows.select(*BRONZE.fieldNames(), "event_day"), now, also=["event_day"])
 
 
@@ -292,7 +302,7 @@ def changed_users(spark: SparkSession, root: str, change: Change) -> DataFrame |
     """Users that any row of the changed ids ever named, so that one who lost a row is among them, too."""
     if change.ids is None:
         return None
-    rows = _rows_of(spark, _loaded_rows(spark, root).where("reject_reason = ''"), change)
+    rows = _rows_of(_loaded_rows(spark, root).where("reject_reason = ''"), change)
     write_table(rows.select("user_id").distinct(), f"{root}/changed_users")
     return spark.read.schema("user_id string").parquet(f"{root}/changed_users")
 

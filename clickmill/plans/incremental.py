@@ -58,6 +58,17 @@ def rows_with_ids(target: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def common_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those of `ids` that `rows` have; ids alone are shuffled, each once."""
+    return rows.select("event_id").join(ids, "event_id", "left_semi").distinct()
+
+
+def written_ids(ids: DataFrame, path: str) -> DataFrame:
+    """The ids from a table of their own, so that what is joined with them is planned for as many as there are."""
+    write_table(ids, path)
+    return ids.sparkSession.read.schema("event_id string").parquet(path)
+
+
 def upsert_facts(source: DataFrame, path: str, lookback_days: int = LOOKBACK_DAYS) -> str | None:
     """Bring the fact table up to date by event id; returns the cutoff day.
 
@@ -96,7 +107,9 @@ def replace_events(
     """Put `rows`, all that is now known of the event ids `ids`, in the place of their old rows.
 
     `partitions` are those that may hold old or new rows of these ids; no others are read or
-    written, and one that ends up empty is removed. Without `ids` the table is written anew.
+    written, and one that ends up empty is removed. Without `ids` the table is written anew. The table is
+    searched for the ids first, by id alone: most rows of a load are new, and so the kept rows pass by the few
+    ids that the table has instead of being shuffled to meet all.
 
     Returns the number of `rows` and the aggregates `counts` over them, taken as they are written.
     What is written is looked at before it counts: rows without an event id are refused with a
@@ -111,8 +124,10 @@ def replace_events(
     if target is None or ids is None:
         stage(new, path, sort=sort, key=key)
     elif partitions:
-        kept = target.where(F.col(key).isin(list(partitions))).join(ids, "event_id", "left_anti")
-        stage(kept.unionByName(new), path, partitions, sort, key)
+        old = target.where(F.col(key).isin(list(partitions)))
+        held = written_ids(common_ids(old, ids), f"{path}__ids")
+        stage(old.join(held, "event_id", "left_anti").unionByName(new), path, partitions, sort, key)
+        drop(spark, f"{path}__ids")
     else:  # ids without a place, of rows that were all turned away
         return {"rows": 0, **dict.fromkeys(counts or {}, 0)}
     found = observed(seen, "rows", "null_ids", *(counts or {}))

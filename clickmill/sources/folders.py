@@ -34,13 +34,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def write_partitions(
     df: DataFrame, path: str, keys: Sequence[str], sort: Sequence[str], replace: str
 ) -> None:
-    """Write by folders of `keys`, in full-size files; `replace` is `partitions` or `all`."""
+    """Write by folders of `keys`, in full-size files; `replace` is `partitions` or `all`.
+
+    Event ids hardly repeat, so no dictionary of them is tried.
+    """
     out = df.hint("rebalance", *keys)
     if sort:
         out = out.sortWithinPartitions(*keys, *sort)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
+        .option("parquet.enable.dictionary#event_id", "false")
         .partitionBy(*keys)
         .parquet(path)
     )
