@@ -173,7 +173,9 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
         .select("dim", "block", "q.query_id", "q.least", "q.held")
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     )
-    met = trees.join(travelling, ["dim", "shard"]).repartition(max(2, min(shards * blocks, 4096)), "dim", "shard", "block")
+    # Spark takes the queries' size from before they are repeated for each shard: by that size it would send
+    # all of the repeats to every task, by way of the driver
+    met = trees.hint("merge").join(travelling, ["dim", "shard"]).repartition(max(2, min(shards * blocks, 4096)), "dim", "shard", "block")
     found = met.select("tree", "query_id", "least", "held").mapInArrow(
         _search(k), "query_id long, vec_id long, score long"
     )
