@@ -49,6 +49,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """For the side of a join that grows with the input: it is never gathered in the driver to be sent to every
+    task. Spark sends what its limit allows by compressed or estimated sizes; what the driver holds is many times that.
+    """
+    return df.hint("merge")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

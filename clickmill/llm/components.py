@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import written
+from clickmill.llm.common import by_shuffle, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
         if larger:
             both = both.union(both.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        met = both.join(least, "u")
+        met = both.join(by_shuffle(least), "u")
         if larger:
             out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import clash_free, documents, small_batches, written
+from clickmill.llm.common import by_shuffle, clash_free, documents, partitions, small_batches, written
 from clickmill.llm.components import components
 from clickmill.llm.text import hashed_words, mix
 
@@ -364,14 +364,14 @@ class Holders:
     def sets(self, nodes: DataFrame) -> DataFrame:
         """`sig`, `shingles`: the whole sets of the nodes in `sig`, made from the texts once more. Every node
         has one row, however often its id and text are repeated in the table."""
-        wanted = written(self.of.join(nodes, "sig"), "wanted")
+        wanted = written(self.of.join(by_shuffle(nodes), "sig"), "wanted")
         columns = "id long, sig long, shingles binary"
         n = wanted.count()
         if n <= SENT:
             ids = np.sort(wanted.select("id").toArrow().column(0).to_numpy())
             found = self.texts.mapInArrow(_sets(ids), columns)
         else:
-            found = self.texts.mapInArrow(_sets(None), columns).join(wanted, ["id", "sig"], "left_semi")
+            found = self.texts.mapInArrow(_sets(None), columns).join(by_shuffle(wanted), ["id", "sig"], "left_semi")
         sets = written(found.select("sig", "shingles"), "shingles")
         if sets.count() > n:  # repeated rows in several tasks
             sets = written(sets.groupBy("sig").agg(F.first("shingles").alias("shingles")), "shingles")
@@ -384,7 +384,7 @@ def _verified(pairs: DataFrame, holders: Holders, percent: int) -> DataFrame:
     sets = holders.sets(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
     one = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("other"))
     other = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("one"))
-    both = pairs.join(one, "b").join(other, "a").select("a", "b", "one", "other")
+    both = pairs.join(by_shuffle(one), "b").join(by_shuffle(other), "a").select("a", "b", "one", "other")
     return written(both.mapInArrow(_similar(percent), "a long, b long"), "links")
 
 
@@ -395,11 +395,13 @@ def _linked_in_long_lists(lists: DataFrame, holders: Holders, percent: int) -> D
     blocks = F.ceil(F.col("size") / TOGETHER).cast("int")
     mine = F.pmod(F.xxhash64("sig"), blocks).cast("int")
     others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    met = held.select("shingle", "sig", "root", mine.alias("mine"), others).select(
-        "shingle", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "sig", "root", "mine"
-    )
     keys = ["shingle", "x", "y"]
-    met = met.join(sets, "sig").repartition(*keys).sortWithinPartitions(*keys)
+    # Sets are met before rows are repeated for each block: Spark takes the size of the repeats from before, and
+    # might send them all to every task. For the same reason it gives them to too few tasks; their number is set
+    dealt = held.repartition(partitions(lists.sparkSession), "sig")
+    met = dealt.join(by_shuffle(sets), "sig").select("shingle", "sig", "root", "shingles", mine.alias("mine"), others)
+    met = met.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
+    met = met.repartition(*keys).sortWithinPartitions(*keys)
     links = met.select(*keys, "sig", "root", "mine", "shingles").mapInArrow(_dense(percent), "a long, b long")
     return written(links.distinct(), "links")
 
@@ -431,14 +433,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     links = _verified(stars, holders, percent)
     roots = components(links)
-    rooted = lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+    rooted = lists.join(by_shuffle(roots.withColumnRenamed("node", "sig")), "sig", "left").withColumn(
         "root", F.coalesce("root", "sig")
     )
     rooted = written(rooted, "rooted")
     mixed = rooted.groupBy("shingle").agg(
         F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size")
     )
-    open_lists = rooted.join(mixed.where("x <> y").select("shingle", "size"), "shingle").drop("first", "needs")
+    open_lists = rooted.join(by_shuffle(mixed.where("x <> y").select("shingle", "size")), "shingle").drop("first", "needs")
     rest = (
         open_lists.where(F.col("size") <= SHORT).drop("size")
         .repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_pairs(percent), PAIRS)
@@ -452,11 +454,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     rows = described.where("n >= 0")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least")).join(
-        roots.withColumnRenamed("node", "sig"), "sig", "left"
+        by_shuffle(roots.withColumnRenamed("node", "sig")), "sig", "left"
     ).withColumn("root", F.coalesce("root", "sig"))
     least = classes.groupBy("root").agg(F.min("least").alias("component"))
-    named = classes.join(least, "root").select("sig", "component")
-    return rows.join(named, "sig", "left").select(
+    named = classes.join(by_shuffle(least), "root").select("sig", "component")
+    return rows.join(by_shuffle(named), "sig", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -472,7 +474,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     groups = near_duplicates(docs, percent)
     stay = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__doc")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
+    kept = docs.join(by_shuffle(stay), F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
     return kept.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(docs.columns)
 

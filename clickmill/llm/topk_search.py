@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import written
+from clickmill.llm.common import by_shuffle, written
 
 SHARD = 4096
 LEAF = 128
@@ -175,7 +175,7 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     )
     # Spark takes the queries' size from before they are repeated for each shard: by that size it would send
     # all of the repeats to every task, by way of the driver
-    met = trees.hint("merge").join(travelling, ["dim", "shard"]).repartition(max(2, min(shards * blocks, 4096)), "dim", "shard", "block")
+    met = by_shuffle(trees).join(travelling, ["dim", "shard"]).repartition(max(2, min(shards * blocks, 4096)), "dim", "shard", "block")
     found = met.select("tree", "query_id", "least", "held").mapInArrow(
         _search(k), "query_id long, vec_id long, score long"
     )
